@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from .bpe import bpe_digests
 from .common import table
 from .token_counts import token_counts
 
@@ -12,5 +13,9 @@ def op3_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts,)}
+def op4_bpe(spark, sf_dir):
+    return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op3_token_counts, op4_bpe)}
 ORACLE_SQL: dict[str, str] = {}
