@@ -7,6 +7,7 @@ import public_tokenizers
 from .bpe import bpe_digests
 from .common import table
 from .token_counts import token_counts
+from .warc import round_trip
 
 
 def op3_token_counts(spark, sf_dir):
@@ -17,5 +18,18 @@ def op4_bpe(spark, sf_dir):
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op4_bpe)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_warc(spark, sf_dir):
+    return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {f.__name__: f for f in (op3_token_counts, op4_bpe, op10_warc)}
+ORACLE_SQL: dict[str, str] = {
+    "op10_warc": """
+        WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+        g AS (SELECT payload_digest, max(page_id) AS first_id FROM p WHERE payload_bytes >= 1000 GROUP BY 1 HAVING count(*) > 1)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+               CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+        FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest AND payload_bytes >= 1000
+    """,
+}
