@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_digests
 from .common import table
+from .mixing import ORACLE as MIX_ORACLE
+from .mixing import mix
 from .token_counts import token_counts
 from .topk import top_k
 from .warc import round_trip
@@ -24,11 +26,15 @@ def op4_bpe(spark, sf_dir):
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_mixing(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark, sf_dir):
     return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op3_token_counts, op4_bpe, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op3_token_counts, op4_bpe, op8_mixing, op10_warc)}
 ORACLE_SQL: dict[str, str] = {
     "op1_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -38,6 +44,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
     """,
+    "op8_mixing": MIX_ORACLE,
     "op10_warc": """
         WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
         g AS (SELECT payload_digest, max(page_id) AS first_id FROM p WHERE payload_bytes >= 1000 GROUP BY 1 HAVING count(*) > 1)
