@@ -33,10 +33,12 @@ from pyspark.sql import functions as F
 from .common import cut
 from .token_counts import load
 
-#: The byte-level pre-tokenizer's pattern.
-PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Bytes of the broadcast part of the word table, distinct words that a map task holds, and words a worker remembers.
+#: The byte-level pre-tokenizer's pattern, with the letters first, as no other branch can match where they do.
+PATTERN = regex.compile(r" ?\p{L}++|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+")
+#: Bytes of the broadcast part of the word table, distinct words that a map task holds, and words that a worker remembers.
 HEAD_BYTES, HELD_WORDS, MEMO_WORDS = 96_000_000, 600_000, 300_000
+#: Texts that are looked up at a time.
+TEXTS = 500
 #: Marks a special string among words. No word can equal it: the pattern never joins white space to what follows but for one space.
 MARK = "\n\nspecial:"
 
@@ -111,8 +113,9 @@ def encode_words(counted: DataFrame, path: str) -> DataFrame:
     def run(batches):
         split = splitter(path)
         for batch in batches:
-            ids = [[split.special[w[len(MARK) :]]] if w.startswith(MARK) else split.tokenizer.encode(w, add_special_tokens=False).ids for w in batch.column(0).to_pylist()]
-            hashes = pa.array([word_hash(w) for w in batch.column(0).to_pylist()], pa.int64())
+            words = batch.column(0).to_pylist()
+            ids = [x.ids for x in split.tokenizer.encode_batch_fast([w.removeprefix(MARK) for w in words], add_special_tokens=False)]
+            hashes = pa.array(map(word_hash, words), pa.int64())
             yield pa.RecordBatch.from_arrays([hashes, batch.column(1), pa.array(ids, pa.list_(pa.int32()))], ["h", "n", "ids"])
 
     return counted.mapInArrow(run, "h long, n long, ids array<int>")
@@ -134,13 +137,15 @@ class Head:
         where = np.repeat(offsets[:-1][order] - offsets[0] - self.offsets[:-1], lengths) + np.arange(self.offsets[-1])
         self.ids = ids[where].astype(np.int32)
 
-    def find(self, word: str) -> str | None:
-        """The word's ids as decimals joined by commas, or None."""
-        h = word_hash(word)
-        i = int(np.searchsorted(self.h, h))
-        if i == len(self.h) or self.h[i] != h:
-            return None
-        return ",".join(map(str, self.ids[self.offsets[i] : self.offsets[i + 1]].tolist()))
+    def find(self, words: list[str]) -> dict[str, str]:
+        """The ids of the words found, as decimals joined by commas."""
+        h = np.fromiter(map(word_hash, words), np.int64, len(words))
+        at = np.searchsorted(self.h, h)
+        good = np.flatnonzero(self.h[np.minimum(at, len(self.h) - 1)] == h) if len(self.h) else []
+        out, first, last = {}, self.offsets[at[good]].tolist() if len(good) else [], self.offsets[at[good] + 1].tolist() if len(good) else []
+        for k, a, b in zip(good, first, last):
+            out[words[k]] = ",".join(map(str, self.ids[a:b].tolist()))
+        return out
 
 
 def pieces(path: str) -> dict[str, bytes]:
@@ -153,12 +158,42 @@ def pieces(path: str) -> dict[str, bytes]:
     return out
 
 
-def digests(parts: list[str], piece: dict[str, bytes]) -> tuple[int, str, str]:
+class Decoder(dict):
+    """Bytes of sequences of ids in decimals, each from the pieces of its ids at first sight."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.piece = pieces(path)
+
+    def __missing__(self, ids: str) -> bytes:
+        found = b"".join(map(self.piece.__getitem__, ids.split(",")))
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        self[ids] = found
+        return found
+
+
+def digests(parts: list[str], decoder: Decoder) -> tuple[int, str, str]:
     """(n_tokens, ids_sha256, decoded_sha256) of a text from the ids of its words."""
     joined = ",".join(parts)
-    ids = joined.split(",") if joined else []
-    decoded = b"".join(map(piece.__getitem__, ids)).decode("utf-8", "replace")
-    return len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+    decoded = b"".join(map(decoder.__getitem__, parts)).decode("utf-8", "replace")
+    return joined.count(",") + bool(joined), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+
+class Memo(dict):
+    """Ids of words by the broadcast part of the table, as many as a worker remembers."""
+
+    def __init__(self, head: Head):
+        super().__init__()
+        self.head = head
+
+    def look_up(self, lists: list[list[str]]) -> None:
+        """Learn what these texts need; words that the head lacks stay out."""
+        new = [w for w in {w for words in lists for w in words} if w not in self]
+        if len(self) + len(new) > MEMO_WORDS:
+            self.clear()
+            new = list({w for words in lists for w in words})
+        self.update(self.head.find(new))
 
 
 def bpe_digests(docs: DataFrame, path: str, head_bytes: int = HEAD_BYTES) -> DataFrame:
@@ -178,23 +213,18 @@ def bpe_digests(docs: DataFrame, path: str, head_bytes: int = HEAD_BYTES) -> Dat
     head = spark.sparkContext.broadcast(Head(table.filter(F.col("n") >= least).select("h", "ids").toArrow()))
 
     def run(batches):
-        split, piece, known, memo = splitter(path), pieces(path), head.value, {}
+        split, decoder, memo = splitter(path), Decoder(path), Memo(head.value)
         for batch in batches:
-            out = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                text = text.as_py() or ""
-                parts = list(map(memo.get, found := split.words(text)))
-                if None in parts:
-                    for k, part in enumerate(parts):
-                        if part is None:
-                            if (part := memo.get(found[k])) is None and (part := known.find(found[k])) is not None:
-                                if len(memo) >= MEMO_WORDS:
-                                    memo.clear()
-                                memo[found[k]] = part
-                            parts[k] = part
-                out.append((doc, None, None, None, text) if None in parts else (doc, *digests(parts, piece), None))
-            columns = list(zip(*out)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [batch.schema.field(0).type, pa.int64(), pa.string(), pa.string(), pa.string()])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "text"])
+            for k in range(0, batch.num_rows, TEXTS):
+                some, out = batch.slice(k, TEXTS), []
+                texts = [t or "" for t in some.column(1).to_pylist()]
+                lists = list(map(split.words, texts))
+                memo.look_up(lists)
+                for doc, text, words in zip(some.column(0).to_pylist(), texts, lists):
+                    parts = list(map(memo.get, words))
+                    out.append((doc, None, None, None, text) if None in parts else (doc, *digests(parts, decoder), None))
+                columns = list(zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [batch.schema.field(0).type, pa.int64(), pa.string(), pa.string(), pa.string()])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "text"])
 
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if whole:  # every distinct word is in the broadcast part
@@ -207,11 +237,10 @@ def bpe_digests(docs: DataFrame, path: str, head_bytes: int = HEAD_BYTES) -> Dat
         for batch in batches:
             keys, at, hashes = [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen: dict[str, bool] = {}
-                for pos, w in enumerate(split.words(text)):
-                    if w not in seen:
-                        seen[w] = known.find(w) is None
-                    if seen[w]:
+                words = split.words(text)
+                have = known.find(list(set(words)))
+                for pos, w in enumerate(words):
+                    if w not in have:
                         keys.append(key), at.append(pos), hashes.append(word_hash(w))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(at, pa.int32()), pa.array(hashes, pa.int64())], ["key", "pos", "h"])
 
@@ -219,12 +248,14 @@ def bpe_digests(docs: DataFrame, path: str, head_bytes: int = HEAD_BYTES) -> Dat
     placed = texts.mapInArrow(occurrences, "key string, pos int, h long").join(table.filter(F.col("n") < least).select("h", "ids"), "h").groupBy("key").agg(F.collect_list(F.struct("pos", "ids")).alias("placed"))
 
     def finish(batches):
-        split, piece, known = splitter(path), pieces(path), head.value
+        split, decoder, known = splitter(path), Decoder(path), head.value
         for batch in batches:
             out = []
             for doc, text, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 by = {x["pos"]: ",".join(map(str, x["ids"])) for x in ids}
-                out.append((doc, *digests([by[k] if k in by else known.find(w) for k, w in enumerate(split.words(text))], piece)))
+                words = split.words(text)
+                have = known.find(list(set(words)))
+                out.append((doc, *digests([by[k] if k in by else have[w] for k, w in enumerate(words)], decoder)))
             columns = list(zip(*out)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [batch.schema.field(0).type, pa.int64(), pa.string(), pa.string()])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
