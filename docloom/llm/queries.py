@@ -9,6 +9,8 @@ from .bpe import bpe_digests
 from .common import table
 from .mixing import ORACLE as MIX_ORACLE
 from .mixing import mix
+from .quality import ORACLE as QUALITY_ORACLE
+from .quality import quality
 from .token_counts import token_counts
 from .topk import top_k
 from .warc import round_trip
@@ -18,6 +20,10 @@ def op1_top_k(spark, sf_dir):
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op2_quality(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -34,7 +40,7 @@ def op10_warc(spark, sf_dir):
     return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op3_token_counts, op4_bpe, op8_mixing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_quality, op3_token_counts, op4_bpe, op8_mixing, op10_warc)}
 ORACLE_SQL: dict[str, str] = {
     "op1_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -44,6 +50,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
     """,
+    "op2_quality": QUALITY_ORACLE,
     "op8_mixing": MIX_ORACLE,
     "op10_warc": """
         WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
