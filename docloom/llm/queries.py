@@ -13,6 +13,7 @@ from .quality import ORACLE as QUALITY_ORACLE
 from .quality import quality
 from .token_counts import token_counts
 from .topk import top_k
+from .toxicity import toxicity
 from .warc import round_trip
 
 
@@ -32,6 +33,10 @@ def op4_bpe(spark, sf_dir):
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
@@ -40,7 +45,7 @@ def op10_warc(spark, sf_dir):
     return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_quality, op3_token_counts, op4_bpe, op8_mixing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_quality, op3_token_counts, op4_bpe, op7_toxicity, op8_mixing, op10_warc)}
 ORACLE_SQL: dict[str, str] = {
     "op1_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
