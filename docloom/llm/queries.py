@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_digests
 from .common import table
+from .jaccard_join import components
 from .mixing import ORACLE as MIX_ORACLE
 from .mixing import mix
 from .quality import ORACLE as QUALITY_ORACLE
@@ -41,11 +42,15 @@ def op8_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark, sf_dir):
+    return components(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark, sf_dir):
     return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_quality, op3_token_counts, op4_bpe, op7_toxicity, op8_mixing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_quality, op3_token_counts, op4_bpe, op7_toxicity, op8_mixing, op9_jaccard_join, op10_warc)}
 ORACLE_SQL: dict[str, str] = {
     "op1_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
