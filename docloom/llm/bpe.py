@@ -167,9 +167,8 @@ class Decoder(dict):
 
     def __missing__(self, ids: str) -> bytes:
         found = b"".join(map(self.piece.__getitem__, ids.split(",")))
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        self[ids] = found
+        if len(self) < MEMO_WORDS:
+            self[ids] = found
         return found
 
 
@@ -181,19 +180,36 @@ def digests(parts: list[str], decoder: Decoder) -> tuple[int, str, str]:
 
 
 class Memo(dict):
-    """Ids of words by the broadcast part of the table, as many as a worker remembers."""
+    """Ids of words by the broadcast part of the table, as many as a worker remembers; other words are looked up anew."""
 
     def __init__(self, head: Head):
         super().__init__()
-        self.head = head
+        self.head, self.missing = head, set()
 
-    def look_up(self, lists: list[list[str]]) -> None:
-        """Learn what these texts need; words that the head lacks stay out."""
-        new = [w for w in {w for words in lists for w in words} if w not in self]
-        if len(self) + len(new) > MEMO_WORDS:
-            self.clear()
-            new = list({w for words in lists for w in words})
-        self.update(self.head.find(new))
+    def __missing__(self, word: str) -> None:
+        self.missing.add(word)
+
+    def parts(self, lists: list[list[str]]) -> list[list[str | None]]:
+        """The ids of each word of each text; None for words that the head lacks."""
+        self.missing = set()
+        rows = [list(map(self.__getitem__, words)) for words in lists]
+        if self.missing:
+            found = self.head.find(list(self.missing))
+            if len(self) < MEMO_WORDS:
+                self.update(found)
+            rows = [[p or found.get(w) for p, w in zip(parts, words)] if None in parts else parts for parts, words in zip(rows, lists)]
+        return rows
+
+
+#: A worker's memo of the last broadcast that it has seen, kept from task to task.
+_LAST: dict = {}
+
+
+def remembered(head, path: str) -> tuple[Memo, Decoder]:
+    if _LAST.get("head") is not head.value:
+        _LAST.clear()
+        _LAST.update(head=head.value, pair=(Memo(head.value), Decoder(path)))
+    return _LAST["pair"]
 
 
 def bpe_digests(docs: DataFrame, path: str, head_bytes: int = HEAD_BYTES) -> DataFrame:
@@ -213,15 +229,13 @@ def bpe_digests(docs: DataFrame, path: str, head_bytes: int = HEAD_BYTES) -> Dat
     head = spark.sparkContext.broadcast(Head(table.filter(F.col("n") >= least).select("h", "ids").toArrow()))
 
     def run(batches):
-        split, decoder, memo = splitter(path), Decoder(path), Memo(head.value)
+        split, (memo, decoder) = splitter(path), remembered(head, path)
         for batch in batches:
             for k in range(0, batch.num_rows, TEXTS):
                 some, out = batch.slice(k, TEXTS), []
                 texts = [t or "" for t in some.column(1).to_pylist()]
                 lists = list(map(split.words, texts))
-                memo.look_up(lists)
-                for doc, text, words in zip(some.column(0).to_pylist(), texts, lists):
-                    parts = list(map(memo.get, words))
+                for doc, text, parts in zip(some.column(0).to_pylist(), texts, memo.parts(lists)):
                     out.append((doc, None, None, None, text) if None in parts else (doc, *digests(parts, decoder), None))
                 columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [batch.schema.field(0).type, pa.int64(), pa.string(), pa.string(), pa.string()])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "text"])
