@@ -6,15 +6,17 @@ are one node, so copies of a text never meet as pairs.
 Signatures (PartEnum): sizes fall into bands. For two sets of a band, a Jaccard similarity of at least t % bounds their
 symmetric difference by k, the same for the band. The domain of shingles is cut into parts by hash and every set's
 projections to certain unions of parts are hashed with the band's number.
- * k of at most 3: k + 2 parts, all pairs of parts. k differences miss two parts at least, so their projection is shared.
+ * k of at most 3: 8 parts, all unions of 8 - k of them. k differences miss 8 - k parts at least, so that projection is shared.
  * larger k: k + 1 + s parts. At least s + 1 of them are free of differences, so each set may leave out its s weakest
    parts (fewest shingles, then by hash): of the shared parts, one at least is then kept by both sets.
 A set whose partner may lie in the next band also signs for that band. Sets that are similar enough thus share a signature.
 
-Links: the sets of a signature's group are compared with the group's first set, by their texts; then, among the groups that
-hold several components, with more and more of the others, but only across components, until each group is of one component
-or wholly compared. So no group emits all its pairs, and every component is found. Components are found by large-star and
-small-star steps over tables in the shared folder.
+Links: the sets of a signature's group are compared with the group's first set, by their texts. Groups whose other sets are
+still of several components are split by the signatures of another cut of the domain: similar sets share one of these, too,
+so they stay together in a part, while sets that merely share a passage are parted. Each level compares the parts' first
+sets across components only. What is left of several components after ``LEVELS`` levels is compared with more and more of
+its sets until it is of one component or wholly compared. So no group emits all its pairs, and every component is found.
+Components are found by large-star and small-star steps over tables in the shared folder.
 
 Defined results: texts that are null or without words have an empty set and no links; texts of fewer than n words are one
 shingle; words are case-folded for A-Z only; repeated rows are copies; a null doc_id takes part but is never a smallest id
@@ -40,6 +42,8 @@ from .common import cut, small
 BROADCAST_ROWS = 1_000_000
 #: Words whose hash a worker remembers; the growth of bands; further parts as a share of k.
 MEMO_WORDS, BAND, SPARE = 500_000, 1.4, 0.4
+#: Parts of the domain for small k; levels of splitting.
+PARTS, LEVELS = 8, 4
 _LOWER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -86,12 +90,14 @@ def bands(upto: int) -> list[int]:
     return out
 
 
-def signatures(sets: np.ndarray, percent: int) -> np.ndarray:
-    """The set's signatures for its band and, where a partner may be there, for the next."""
+def signatures(sets: np.ndarray, percent: int, seed: int = 0) -> np.ndarray:
+    """The set's signatures for its band and, where a partner may be there, for the next. ``seed`` tells cuts of the domain apart."""
     assert percent >= 72, "a partner may then lie beyond the next band"
     size = len(sets)
     if not size:
         return np.empty(0, np.uint64)
+    if seed:
+        sets = np.sort(mixed(sets ^ mixed(np.uint64([seed]))))
     limits = bands(size)
     tags = [(len(limits) - 1, limits[-1])]
     if size * 100 // percent > limits[-1]:
@@ -108,12 +114,11 @@ def signatures(sets: np.ndarray, percent: int) -> np.ndarray:
 def projections(sets: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the projections that two sets with at most k differences share at least one of."""
     if k <= 3:
-        parts = k + 2
-        part = ((sets >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-        sums = np.zeros(parts, np.uint64)
+        part = (sets >> np.uint64(61)).astype(np.int64)
+        sums = np.zeros(PARTS, np.uint64)
         np.add.at(sums, part, weight)
-        pairs = np.array(list(combinations(range(parts), 2)))
-        return mixed(sums[pairs[:, 0]] + sums[pairs[:, 1]]) ^ mixed((pairs[:, 0] * 8 + pairs[:, 1]).astype(np.uint64))
+        out = np.array(list(combinations(range(PARTS), k)))
+        return mixed(sums.sum() - sums[out].sum(axis=1)) ^ mixed((1 << out).sum(axis=1).astype(np.uint64))
     spare = max(1, int(SPARE * k))
     parts = k + 1 + spare
     part = ((sets >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)  # rises with the sorted set
@@ -218,24 +223,54 @@ def linked(docs: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame
     involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     owners = cut(known.filter("node is not null").join(involved, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"))).alias("x")).select("node", F.col("x.doc").alias("doc_id")), "owners")
     texts = cut(texts_of(docs, owners, n), "texts")
-    links = cut(verified(pairs, texts, n, percent), "links")
-    compared, reps = pairs, 1
+    links, compared = cut(verified(pairs, texts, n, percent), "links"), pairs
+    for level in range(1, LEVELS + 1):
+        parts = connected(links)
+        active = cut(unsettled(found, parts), "active")
+        if active.isEmpty():
+            return parts
+        found = cut(refined(active, texts, n, percent, level), "groups")
+        more = found.filter("component <> of_first").select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct()
+        more = cut(more.join(compared, ["a", "b"], "left_anti"), "pairs")
+        links = cut(links.unionByName(verified(more, texts, n, percent)), "links")
+        compared = compared.unionByName(more)
+    reps = 1
     while True:
         parts = connected(links)
-        labelled = found.select("sig", F.explode(F.array("first", "node")).alias("node")).distinct().join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed_groups = labelled.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).filter(f"low <> high and size > {reps} + 1").select("sig")
-        active = cut(labelled.join(mixed_groups, "sig"), "active")
-        reps *= 4
+        active = cut(unsettled(found, parts), "active")
         rank = active.withColumn("r", F.row_number().over(Window.partitionBy("sig").orderBy("node")))
+        if rank.filter(F.col("r") > reps // 4).isEmpty():
+            return parts
         first = rank.filter(F.col("r") <= reps).select("sig", F.col("node").alias("x"), F.col("component").alias("cx"))
         more = first.join(active, "sig").filter("component <> cx").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct().join(compared, ["a", "b"], "left_anti")
         more = cut(more, "pairs")
-        if more.isEmpty():
-            if active.isEmpty() or rank.filter(F.col("r") > reps).isEmpty():
-                return parts
-            continue
         links = cut(links.unionByName(verified(more, texts, n, percent)), "links")
         compared = compared.unionByName(more)
+        reps *= 4
+
+
+def unsettled(found: DataFrame, parts: DataFrame) -> DataFrame:
+    """(sig, node, component): the sets but the first of each group, where these are of several components."""
+    rows = found.select("sig", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("sig")
+    return rows.join(several, "sig").select("sig", "node", "component")
+
+
+def refined(active: DataFrame, texts: DataFrame, n: int, percent: int, level: int) -> DataFrame:
+    """(sig, first, of_first, node, component): the groups of ``active`` split by the signatures of another cut of the domain."""
+
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            sigs = [pa.array(signatures(shingles(t.as_py(), n, hashes), percent, level).view(np.int64)) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.list_(pa.int64()))], ["node", "sigs"])
+
+    signed = texts.join(active.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(run, "node long, sigs array<long>")
+    rows = active.join(signed, "node").select("sig", "node", "component", F.explode("sigs").alias("s")).select(F.xxhash64("sig", "s").alias("sig"), "node", "component")
+    by = Window.partitionBy("sig").orderBy("node")
+    running = by.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select("sig", "node", "component", F.first("node").over(running).alias("first"), F.first("component").over(running).alias("of_first"), F.lag("node").over(by).alias("before"))
+    return rows.filter((F.col("node") != F.col("first")) & ~F.col("before").eqNullSafe(F.col("node"))).drop("before")
 
 
 def texts_of(docs: DataFrame, owners: DataFrame, n: int) -> DataFrame:

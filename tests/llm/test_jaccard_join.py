@@ -73,7 +73,8 @@ def test_representatives(spark):
     assert jj.components(df.limit(0)).count() == 0 and jj.representatives(df.limit(0)).count() == 0
 
 
-def test_similar_sets_share_a_signature():
+@pytest.mark.parametrize("seed", [0, 2])
+def test_similar_sets_share_a_signature(seed):
     r = np.random.default_rng(0)
     for percent in (80, 90):
         for size in [*range(1, 60), 90, 140, 141, 400, 1000, 5000]:
@@ -83,10 +84,17 @@ def test_similar_sets_share_a_signature():
                 add = r.integers(0, max(1, int(size * (100 - percent) / 100)) + 1)
                 other = np.unique(np.concatenate([r.permutation(base)[drop:], r.integers(0, 2**63, add).astype(np.uint64) * np.uint64(2) + np.uint64(1)]))
                 if jj.similar(base, other, percent) and not np.array_equal(base, other):
-                    assert len(np.intersect1d(jj.signatures(base, percent), jj.signatures(other, percent))), (size, percent)
+                    assert len(np.intersect1d(jj.signatures(base, percent, seed), jj.signatures(other, percent, seed))), (size, percent)
 
 
 def test_chains_are_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 103), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in jj.connected(edges).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 103: 100}
+
+
+def test_without_levels_the_rest_is_compared(spark, monkeypatch):
+    monkeypatch.setattr(jj, "LEVELS", 0)
+    rows = corpus(6, 120)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in jj.components(df, 3, 80).collect()), key=str) == sorted(brute(rows, 3, 80), key=str)
