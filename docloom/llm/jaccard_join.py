@@ -11,11 +11,10 @@ projections to certain unions of parts are hashed with the band's number.
    parts (fewest shingles, then by hash): of the shared parts, one at least is then kept by both sets.
 A set whose partner may lie in the next band also signs for that band. Sets that are similar enough thus share a signature.
 
-Links: the sets of a signature's group are compared with the group's first set, by their texts. Groups whose other sets are
-still of several components are split by the signatures of another cut of the domain: similar sets share one of these, too,
-so they stay together in a part, while sets that merely share a passage are parted. Each level compares the parts' first
-sets across components only. What is left of several components after ``LEVELS`` levels is compared with more and more of
-its sets until it is of one component or wholly compared. So no group emits all its pairs, and every component is found.
+Links: the sets of a signature's group are compared with the group's first set, by their texts. As each set of a group is
+paired with the first, sets that are similar enough are connected over these candidate pairs. Candidate components whose
+sets are then still of several linked components are settled exactly: their sets, in blocks of bounded size, are compared
+block against block within a task, which gives only links that join two components. So no pairs within a group are emitted.
 Components are found by large-star and small-star steps over tables in the shared folder.
 
 Defined results: texts that are null or without words have an empty set and no links; texts of fewer than n words are one
@@ -42,8 +41,8 @@ from .common import cut, small
 BROADCAST_ROWS = 1_000_000
 #: Words whose hash a worker remembers; the growth of bands; further parts as a share of k.
 MEMO_WORDS, BAND, SPARE = 500_000, 1.4, 0.4
-#: Parts of the domain for small k; levels of splitting.
-PARTS, LEVELS = 8, 4
+#: Parts of the domain for small k; sets and bytes of text in a block, shingles in a slice of a comparison.
+PARTS, BLOCK_SETS, BLOCK_BYTES, SLICE = 8, 512, 4_000_000, 8192
 _LOWER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -90,14 +89,12 @@ def bands(upto: int) -> list[int]:
     return out
 
 
-def signatures(sets: np.ndarray, percent: int, seed: int = 0) -> np.ndarray:
-    """The set's signatures for its band and, where a partner may be there, for the next. ``seed`` tells cuts of the domain apart."""
+def signatures(sets: np.ndarray, percent: int) -> np.ndarray:
+    """The set's signatures for its band and, where a partner may be there, for the next."""
     assert percent >= 72, "a partner may then lie beyond the next band"
     size = len(sets)
     if not size:
         return np.empty(0, np.uint64)
-    if seed:
-        sets = np.sort(mixed(sets ^ mixed(np.uint64([seed]))))
     limits = bands(size)
     tags = [(len(limits) - 1, limits[-1])]
     if size * 100 // percent > limits[-1]:
@@ -223,54 +220,81 @@ def linked(docs: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame
     involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     owners = cut(known.filter("node is not null").join(involved, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"))).alias("x")).select("node", F.col("x.doc").alias("doc_id")), "owners")
     texts = cut(texts_of(docs, owners, n), "texts")
-    links, compared = cut(verified(pairs, texts, n, percent), "links"), pairs
-    for level in range(1, LEVELS + 1):
-        parts = connected(links)
-        active = cut(unsettled(found, parts), "active")
-        if active.isEmpty():
-            return parts
-        found = cut(refined(active, texts, n, percent, level), "groups")
-        more = found.filter("component <> of_first").select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct()
-        more = cut(more.join(compared, ["a", "b"], "left_anti"), "pairs")
-        links = cut(links.unionByName(verified(more, texts, n, percent)), "links")
-        compared = compared.unionByName(more)
-    reps = 1
-    while True:
-        parts = connected(links)
-        active = cut(unsettled(found, parts), "active")
-        rank = active.withColumn("r", F.row_number().over(Window.partitionBy("sig").orderBy("node")))
-        if rank.filter(F.col("r") > reps // 4).isEmpty():
-            return parts
-        first = rank.filter(F.col("r") <= reps).select("sig", F.col("node").alias("x"), F.col("component").alias("cx"))
-        more = first.join(active, "sig").filter("component <> cx").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct().join(compared, ["a", "b"], "left_anti")
-        more = cut(more, "pairs")
-        links = cut(links.unionByName(verified(more, texts, n, percent)), "links")
-        compared = compared.unionByName(more)
-        reps *= 4
+    links = cut(verified(pairs, texts, n, percent), "links")
+    open_groups = unsettled(connected(pairs), connected(links))
+    more = cut(settled(open_groups, texts, n, percent), "links")
+    return connected(links.unionByName(more))
+
 
+def unsettled(candidates: DataFrame, parts: DataFrame) -> DataFrame:
+    """(grp, node, component): the sets of candidate components of more than two sets and several linked components."""
+    rows = candidates.withColumnRenamed("component", "grp").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = rows.groupBy("grp").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("sets")).filter("low <> high and sets > 2").select("grp")
+    return cut(rows.join(several, "grp").select("grp", "node", "component"), "open")
 
-def unsettled(found: DataFrame, parts: DataFrame) -> DataFrame:
-    """(sig, node, component): the sets but the first of each group, where these are of several components."""
-    rows = found.select("sig", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = rows.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("sig")
-    return rows.join(several, "sig").select("sig", "node", "component")
 
+def settled(rows: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b): links that join the components of each group, from comparing all its sets block by block.
 
-def refined(active: DataFrame, texts: DataFrame, n: int, percent: int, level: int) -> DataFrame:
-    """(sig, first, of_first, node, component): the groups of ``active`` split by the signatures of another cut of the domain."""
+    Blocks follow the components, so that most block pairs of a group with a large component are of that one alone and are left out.
+    """
+    by = Window.partitionBy("grp").orderBy("component", "node")
+    running = by.rowsBetween(Window.unboundedPreceding, 0)
+    placed = rows.join(texts.select("node", F.octet_length("text").alias("bytes")), "node").select("grp", "node", "component", F.floor(F.greatest(F.sum("bytes").over(running) / BLOCK_BYTES, F.row_number().over(by) / BLOCK_SETS)).alias("block"))
+    blocks = placed.join(texts, "node").groupBy("grp", "block").agg(F.collect_list(F.struct("node", "component", "text")).alias("m"), F.min("component").alias("low"), F.max("component").alias("high"))
+    blocks = cut(blocks, "blocks")
+    other = blocks.select("grp", F.col("block").alias("block_b"), F.col("m").alias("m_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
+    work = blocks.join(other, "grp").filter("block <= block_b and (low <> high or low_b <> high_b or low <> low_b)").select("m", "m_b")
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            sigs = [pa.array(signatures(shingles(t.as_py(), n, hashes), percent, level).view(np.int64)) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigs, pa.list_(pa.int64()))], ["node", "sigs"])
-
-    signed = texts.join(active.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(run, "node long, sigs array<long>")
-    rows = active.join(signed, "node").select("sig", "node", "component", F.explode("sigs").alias("s")).select(F.xxhash64("sig", "s").alias("sig"), "node", "component")
-    by = Window.partitionBy("sig").orderBy("node")
-    running = by.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.select("sig", "node", "component", F.first("node").over(running).alias("first"), F.first("component").over(running).alias("of_first"), F.lag("node").over(by).alias("before"))
-    return rows.filter((F.col("node") != F.col("first")) & ~F.col("before").eqNullSafe(F.col("node"))).drop("before")
+            for k in range(batch.num_rows):
+                left, right = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+                sets = [[shingles(x["text"], n, hashes) for x in side] for side in (left, right)]
+                parent: dict[int, int] = {}
+                out = []
+                for i, j in np.argwhere(overlaps(sets[0], sets[1], percent)).tolist():
+                    a, b = root(parent, left[i]["component"]), root(parent, right[j]["component"])
+                    if a != b:
+                        parent[a] = b
+                        out.append((left[i]["node"], right[j]["node"]))
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
+
+    return work.repartition(max(1, work.sparkSession.sparkContext.defaultParallelism * 4)).mapInArrow(run, "a long, b long")
+
+
+def root(parent: dict[int, int], x: int) -> int:
+    while x in parent:
+        x = parent[x]
+    return x
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether each set of ``left`` is similar to each of ``right``: counts of common shingles as products of 0/1 matrices, a slice of shingles at a time."""
+    values = np.concatenate([*left, *right])
+    known, seen = np.unique(values, return_counts=True)
+    known = known[seen > 1]  # others are in one set alone
+    rows = [np.repeat(np.arange(len(side)), [len(x) for x in side]) for side in (left, right)]
+    places = []
+    for side, row in zip((left, right), rows):
+        flat = np.concatenate(side)
+        at = np.minimum(np.searchsorted(known, flat), max(0, len(known) - 1))
+        good = known[at] == flat if len(known) else np.zeros(len(flat), bool)
+        order = np.argsort(at[good], kind="stable")
+        places.append((row[good][order], at[good][order]))
+    common = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, len(known), SLICE):
+        matrices = []
+        for side, (row, at) in zip((left, right), places):
+            lo, hi = np.searchsorted(at, [start, start + SLICE])
+            x = np.zeros((len(side), min(SLICE, len(known) - start)), np.float32)
+            x[row[lo:hi], at[lo:hi] - start] = 1
+            matrices.append(x)
+        common += matrices[0] @ matrices[1].T
+    common = common.astype(np.int64)
+    union = np.array([len(x) for x in left])[:, None] + np.array([len(x) for x in right])[None, :] - common
+    return (100 * common >= percent * union) & (common > 0)
 
 
 def texts_of(docs: DataFrame, owners: DataFrame, n: int) -> DataFrame:

@@ -53,7 +53,7 @@ def corpus(seed, n=220):
     return [*rows, (900, None), (901, " \t\n"), (901, " \t\n"), (5, rows[5][1]), (5, rows[6][1]), (None, rows[7][1]), (None, "only here is null")]
 
 
-@pytest.mark.parametrize("seed,n,percent", [(1, 3, 90), (2, 5, 80), (3, 1, 80)])
+@pytest.mark.parametrize("seed,n,percent", [(1, 3, 90), (2, 5, 80)])
 def test_against_brute_force(spark, seed, n, percent):
     rows = corpus(seed)
     df = spark.createDataFrame([(d, t, 1, "k") for d, t in rows], "doc_id long, text string, component_id int, node string")
@@ -73,8 +73,7 @@ def test_representatives(spark):
     assert jj.components(df.limit(0)).count() == 0 and jj.representatives(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("seed", [0, 2])
-def test_similar_sets_share_a_signature(seed):
+def test_similar_sets_share_a_signature():
     r = np.random.default_rng(0)
     for percent in (80, 90):
         for size in [*range(1, 60), 90, 140, 141, 400, 1000, 5000]:
@@ -84,7 +83,7 @@ def test_similar_sets_share_a_signature(seed):
                 add = r.integers(0, max(1, int(size * (100 - percent) / 100)) + 1)
                 other = np.unique(np.concatenate([r.permutation(base)[drop:], r.integers(0, 2**63, add).astype(np.uint64) * np.uint64(2) + np.uint64(1)]))
                 if jj.similar(base, other, percent) and not np.array_equal(base, other):
-                    assert len(np.intersect1d(jj.signatures(base, percent, seed), jj.signatures(other, percent, seed))), (size, percent)
+                    assert len(np.intersect1d(jj.signatures(base, percent), jj.signatures(other, percent))), (size, percent)
 
 
 def test_chains_are_one_component(spark):
@@ -93,8 +92,16 @@ def test_chains_are_one_component(spark):
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 103: 100}
 
 
-def test_without_levels_the_rest_is_compared(spark, monkeypatch):
-    monkeypatch.setattr(jj, "LEVELS", 0)
+def test_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jj, "BLOCK_SETS", 5)
+    monkeypatch.setattr(jj, "SLICE", 7)
     rows = corpus(6, 120)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((tuple(r) for r in jj.components(df, 3, 80).collect()), key=str) == sorted(brute(rows, 3, 80), key=str)
+
+
+def test_overlaps():
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 60, r.integers(1, 50)).astype(np.uint64)) for _ in range(40)]
+    got = jj.overlaps(sets[:25], sets[10:], 40)
+    assert got.any() and got.tolist() == [[jj.similar(a, b, 40) for b in sets[10:]] for a in sets[:25]]
