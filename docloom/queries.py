@@ -570,10 +570,10 @@ def _hashes(spark, sf):
     return read(spark, sf, "embeddings").select("vec_id", "label", vision.sign_hash(F.col("embedding")).alias("h"))
 
 
-@query(f"WITH h AS ({_HASHES}) SELECT CAST(a.label AS BIGINT) AS doc_id, a.vec_id AS a, b.vec_id AS b, CAST(bit_count(xor(a.h, b.h)) AS BIGINT) AS distance FROM h a JOIN h b ON a.label = b.label AND a.vec_id < b.vec_id WHERE bit_count(xor(a.h, b.h)) <= 16")
+@query(f"WITH h AS ({_HASHES}) SELECT CAST(a.label AS BIGINT) AS doc_id, a.vec_id AS a, b.vec_id AS b, CAST(bit_count(xor(a.h, b.h)) AS BIGINT) AS distance FROM h a JOIN h b ON a.label = b.label AND a.vec_id < b.vec_id WHERE bit_count(xor(a.h, b.h)) <= 20")
 def hamming_pairs(spark, sf):
     rows = _hashes(spark, sf).select(F.col("label").cast("long").alias("doc_id"), F.col("vec_id").alias("pos"), F.col("h").alias("hash"))
-    return vision.hamming_pairs(rows, 16).withColumn("distance", F.col("distance").cast("long"))
+    return vision.hamming_pairs(rows, 20).withColumn("distance", F.col("distance").cast("long"))
 
 
 @query(f"""

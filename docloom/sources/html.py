@@ -104,8 +104,15 @@ class ToMarkdown(HTMLParser):
         self.prefix = ""
         self.pre = False
         self.rows: list[list[str]] | None = None
+        self.cell = False
         self.hrefs: list[str | None] = []
 
+    def close_cell(self):
+        """Cells and rows may end without a tag."""
+        if self.cell:
+            self.rows[-1].append(" ".join("".join(self.line).split()).replace("|", "\\|"))
+            self.line, self.cell = [], False
+
     def flush(self):
         text = "".join(self.line)
         text = text.strip("\n") if self.pre else " ".join(text.split())
@@ -136,11 +143,13 @@ class ToMarkdown(HTMLParser):
             self.flush()
             self.rows = []
         elif tag == "tr" and self.rows is not None:
+            self.close_cell()
             self.rows.append([])
         elif tag in ("td", "th") and self.rows is not None:
+            self.close_cell()
             if not self.rows:
                 self.rows.append([])
-            self.line = []
+            self.line, self.cell = [], True
         elif tag == "img":
             if attrs.get("src"):
                 self.line.append(f"![{attrs.get('alt') or 'Image'}]({attrs['src']})")
@@ -171,10 +180,10 @@ class ToMarkdown(HTMLParser):
             self.flush()
             if self.lists:
                 self.lists.pop()
-        elif tag in ("td", "th") and self.rows:
-            self.rows[-1].append(" ".join("".join(self.line).split()).replace("|", "\\|"))
-            self.line = []
+        elif tag in ("td", "th", "tr") and self.rows is not None:
+            self.close_cell()
         elif tag == "table" and self.rows is not None:
+            self.close_cell()
             rows = [r for r in self.rows if r]
             if rows:
                 width = max(map(len, rows))
