@@ -350,3 +350,15 @@ def representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
         single = labelled.join(ties, "__component", "left_anti").select(*docs.columns)
         rows = single.unionByName(labelled.join(ties, "__component").dropDuplicates(["__component"]).select(*docs.columns))
     return rows.select(*docs.columns)
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                          ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM d),
+u AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+c AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT c.a, l.b FROM c JOIN l ON c.b = l.a),
+m AS (SELECT a, min(b) AS component_id FROM c GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM s JOIN m ON doc_id = a
+"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_digests
 from .common import table
+from .jaccard_join import ORACLE as JOIN_ORACLE
 from .jaccard_join import components
 from .mixing import ORACLE as MIX_ORACLE
 from .mixing import mix
@@ -62,6 +63,7 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "op2_quality": QUALITY_ORACLE,
     "op8_mixing": MIX_ORACLE,
+    "op9_jaccard_join": JOIN_ORACLE,
     "op10_warc": """
         WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
         g AS (SELECT payload_digest, max(page_id) AS first_id FROM p WHERE payload_bytes >= 1000 GROUP BY 1 HAVING count(*) > 1)
