@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from .bpe import bpe_digests
-from .common import table
+from .common import scratch, table
+from .compaction import compacted
 from .jaccard_join import ORACLE as JOIN_ORACLE
 from .jaccard_join import components
+from .licences import ORACLE as LICENCE_ORACLE
+from .licences import licence_rows
 from .mixing import ORACLE as MIX_ORACLE
 from .mixing import mix
 from .quality import ORACLE as QUALITY_ORACLE
@@ -35,6 +38,17 @@ def op4_bpe(spark, sf_dir):
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_compaction(spark, sf_dir):
+    """All documents, appended in four arrivals, compacted after each and read back from the latest manifest."""
+    docs = table(spark, sf_dir, "documents")
+    store = compacted(docs, scratch(spark, "shards"), F.pmod(F.xxhash64("doc_id"), F.lit(4)), 4)
+    return store.read().select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), "lang", "source", "n_chars")
+
+
+def op6_licences(spark, sf_dir):
+    return licence_rows(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,7 +65,7 @@ def op10_warc(spark, sf_dir):
     return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_top_k, op2_quality, op3_token_counts, op4_bpe, op7_toxicity, op8_mixing, op9_jaccard_join, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_top_k, op2_quality, op3_token_counts, op4_bpe, op5_compaction, op6_licences, op7_toxicity, op8_mixing, op9_jaccard_join, op10_warc)}
 ORACLE_SQL: dict[str, str] = {
     "op1_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -62,6 +76,8 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
     """,
     "op2_quality": QUALITY_ORACLE,
+    "op5_compaction": "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS text_sha256, lang, source, n_chars FROM documents",
+    "op6_licences": LICENCE_ORACLE,
     "op8_mixing": MIX_ORACLE,
     "op9_jaccard_join": JOIN_ORACLE,
     "op10_warc": """
