@@ -8,7 +8,9 @@ symmetric difference by k, the same for the band. The domain of shingles is cut
 projections to certain unions of parts are hashed with the band's number.
  * k of at most 3: 8 parts, all unions of 8 - k of them. k differences miss 8 - k parts at least, so that projection is shared.
  * larger k: k + 1 + s parts. At least s + 1 of them are free of differences, so each set may leave out its s weakest
-   parts (fewest shingles, then by hash): of the shared parts, one at least is then kept by both sets.
+   parts: of the shared parts, one at least is then kept by both sets, whatever fixed order of contents is used. Weak are
+   parts with few rare shingles, then with few shingles. Rare is what is not in ``frequent``, a table of bounded size from a
+   bounded sample of texts: it decides how few unlike sets share a signature, never which links are found.
 A set whose partner may lie in the next band also signs for that band. Sets that are similar enough thus share a signature.
 
 Links: the sets of a signature's group are compared with the group's first set, by their texts. As each set of a group is
@@ -41,6 +43,8 @@ from .common import cut, small
 BROADCAST_ROWS = 1_000_000
 #: Words whose hash a worker remembers; the growth of bands; further parts as a share of k.
 MEMO_WORDS, BAND, SPARE = 500_000, 1.4, 0.4
+#: Texts of the sample of frequent shingles, sample texts that hold one at least, and how many are kept; the similarity below which it is made.
+SAMPLE_TEXTS, FREQUENT_IN, FREQUENT_MOST, FREQUENT_BELOW = 4000, 3, 1 << 18, 85
 #: Parts of the domain for small k; sets and bytes of text in a block, shingles in a slice of a comparison.
 PARTS, BLOCK_SETS, BLOCK_BYTES, SLICE = 8, 512, 4_000_000, 8192
 _LOWER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
@@ -89,7 +93,7 @@ def bands(upto: int) -> list[int]:
     return out
 
 
-def signatures(sets: np.ndarray, percent: int) -> np.ndarray:
+def signatures(sets: np.ndarray, percent: int, frequent: np.ndarray | None = None) -> np.ndarray:
     """The set's signatures for its band and, where a partner may be there, for the next."""
     assert percent >= 72, "a partner may then lie beyond the next band"
     size = len(sets)
@@ -100,15 +104,18 @@ def signatures(sets: np.ndarray, percent: int) -> np.ndarray:
     if size * 100 // percent > limits[-1]:
         tags.append((len(limits), bands(limits[-1] + 1)[-1]))
     weight = mixed(sets)
+    rare = np.ones(size, np.int64)
+    if frequent is not None and len(frequent):
+        rare = (frequent[np.minimum(np.searchsorted(frequent, sets), len(frequent) - 1)] != sets).astype(np.int64)
     out = []
     for band, limit in tags:
         k = 2 * limit * (100 - percent) // (100 + percent)
         if k:  # else only equal sets are similar
-            out.append(mixed(projections(sets, weight, k) ^ mixed(np.uint64([band]))))
+            out.append(mixed(projections(sets, weight, rare, k) ^ mixed(np.uint64([band]))))
     return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
-def projections(sets: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
+def projections(sets: np.ndarray, weight: np.ndarray, rare: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the projections that two sets with at most k differences share at least one of."""
     if k <= 3:
         part = (sets >> np.uint64(61)).astype(np.int64)
@@ -120,11 +127,12 @@ def projections(sets: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
     parts = k + 1 + spare
     part = ((sets >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)  # rises with the sorted set
     starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-    sums, count = np.zeros(parts, np.uint64), np.zeros(parts, np.int64)
+    sums, count, some = np.zeros(parts, np.uint64), np.zeros(parts, np.int64), np.zeros(parts, np.int64)
     sums[part[starts]] = np.add.reduceat(weight, starts)
     count[part[starts]] = np.diff(np.concatenate([starts, [len(part)]]))
+    some[part[starts]] = np.add.reduceat(rare, starts)
     hashed = mixed(sums ^ mixed(np.arange(parts, dtype=np.uint64)))
-    return hashed[np.lexsort((hashed, count))[spare:]]
+    return hashed[np.lexsort((hashed, count, some))[spare:]]
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -145,10 +153,28 @@ def nodes(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, node long")
 
 
-def signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
+def frequent_shingles(docs: DataFrame, n: int, texts: int) -> np.ndarray:
+    """Sorted hashes of the shingles that most of a sample's texts share; ``texts`` is how many ``docs`` has."""
+
+    def run(batches):
+        hashes, held = WordHashes(), []
+        for batch in batches:
+            held += [shingles(t.as_py(), n, hashes) for t in batch.column(0)]
+        found, times = np.unique(np.concatenate(held) if held else np.empty(0, np.uint64), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], ["s", "n"])
+
+    share = min(1.0, SAMPLE_TEXTS / max(1, texts))
+    sample = docs.select("text").filter(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    rows = sample.mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT_IN)
+    return np.sort(rows.orderBy(F.desc("n"), "s").limit(FREQUENT_MOST).select("s").toArrow()["s"].to_numpy().view(np.uint64))
+
+
+def signed(docs: DataFrame, n: int, percent: int, texts: int) -> DataFrame:
     """(sig, node): the signatures of each row's set."""
+    held = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, n, texts)) if percent < FREQUENT_BELOW else None  # FREQUENT_MOST numbers at most
 
     def run(batches):
+        frequent = held.value if held else None
         hashes = WordHashes()
         for batch in batches:
             done: set[int] = set()
@@ -158,7 +184,7 @@ def signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     sets = shingles(text.as_py(), n, hashes)
                     if len(sets) and (node := node_of(sets)) not in done:
                         done.add(node)
-                        sigs.append(signatures(sets, percent))
+                        sigs.append(signatures(sets, percent, frequent))
                         owners.append(node)
                         lengths.append(len(sigs[-1]))
                 if sigs:
@@ -167,10 +193,10 @@ def signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "sig long, node long")
 
 
-def groups(docs: DataFrame, n: int, percent: int) -> DataFrame:
+def groups(docs: DataFrame, n: int, percent: int, texts: int) -> DataFrame:
     """(sig, first, node): the sets that share a signature with a smaller one, the smallest of the group as first. One shuffle; running windows."""
     by = Window.partitionBy("sig").orderBy("node")
-    rows = signed(docs, n, percent).select("sig", "node", F.first("node").over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag("node").over(by).alias("before"))
+    rows = signed(docs, n, percent, texts).select("sig", "node", F.first("node").over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag("node").over(by).alias("before"))
     return rows.filter((F.col("node") != F.col("first")) & ~F.col("before").eqNullSafe(F.col("node"))).select("sig", "first", "node")
 
 
@@ -214,7 +240,7 @@ def connected(edges: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
     """(node, component) of the nodes that have links. ``known`` is ``nodes`` of ``docs``."""
-    found = cut(groups(docs, n, percent), "groups")
+    found = cut(groups(docs, n, percent, known.count()), "groups")
     pairs = found.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     pairs = cut(pairs, "pairs")
     involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()

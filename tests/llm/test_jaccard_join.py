@@ -83,7 +83,8 @@ def test_similar_sets_share_a_signature():
                 add = r.integers(0, max(1, int(size * (100 - percent) / 100)) + 1)
                 other = np.unique(np.concatenate([r.permutation(base)[drop:], r.integers(0, 2**63, add).astype(np.uint64) * np.uint64(2) + np.uint64(1)]))
                 if jj.similar(base, other, percent) and not np.array_equal(base, other):
-                    assert len(np.intersect1d(jj.signatures(base, percent), jj.signatures(other, percent))), (size, percent)
+                    for frequent in (None, np.sort(r.permutation(base)[: size // 2])):
+                        assert len(np.intersect1d(jj.signatures(base, percent, frequent), jj.signatures(other, percent, frequent))), (size, percent)
 
 
 def test_chains_are_one_component(spark):
