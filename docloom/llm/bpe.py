@@ -30,15 +30,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, small_batches, trimmed
 from .token_counts import load
 
 #: The byte-level pre-tokenizer's pattern, with the letters first, as no other branch can match where they do.
 PATTERN = regex.compile(r" ?\p{L}++|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+")
 #: Bytes of the broadcast part of the word table, distinct words that a map task holds, and words that a worker remembers.
-HEAD_BYTES, HELD_WORDS, MEMO_WORDS = 96_000_000, 600_000, 300_000
+HEAD_BYTES, HELD_WORDS, MEMO_WORDS = 96_000_000, 250_000, 300_000
 #: Texts that are looked up at a time.
-TEXTS = 500
+TEXTS = 400
 #: Marks a special string among words. No word can equal it: the pattern never joins white space to what follows but for one space.
 MARK = "\n\nspecial:"
 
@@ -104,7 +104,7 @@ def count_words(docs: DataFrame, path: str) -> DataFrame:
         if held:
             yield from out()
 
-    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(trimmed(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def encode_words(counted: DataFrame, path: str) -> DataFrame:
@@ -118,7 +118,7 @@ def encode_words(counted: DataFrame, path: str) -> DataFrame:
             hashes = pa.array(map(word_hash, words), pa.int64())
             yield pa.RecordBatch.from_arrays([hashes, batch.column(1), pa.array(ids, pa.list_(pa.int32()))], ["h", "n", "ids"])
 
-    return counted.mapInArrow(run, "h long, n long, ids array<int>")
+    return counted.mapInArrow(trimmed(run), "h long, n long, ids array<int>")
 
 
 class Head:
@@ -215,6 +215,7 @@ def remembered(head, path: str) -> tuple[Memo, Decoder]:
 def bpe_digests(docs: DataFrame, path: str, head_bytes: int = HEAD_BYTES) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row of ``docs`` (doc_id, text); see the module's text."""
     spark, docs = docs.sparkSession, docs.select("doc_id", "text")
+    small_batches(spark)
     kind = dict(docs.dtypes)["doc_id"]
     table = cut(encode_words(count_words(docs, path), path), "words")
     size = 12 + 4 * F.size("ids")
@@ -242,8 +243,8 @@ def bpe_digests(docs: DataFrame, path: str, head_bytes: int = HEAD_BYTES) -> Dat
 
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if whole:  # every distinct word is in the broadcast part
-        return docs.mapInArrow(run, f"{schema}, text string").drop("text")
-    resolved = cut(docs.mapInArrow(run, f"{schema}, text string"), "resolved")
+        return docs.mapInArrow(trimmed(run), f"{schema}, text string").drop("text")
+    resolved = cut(docs.mapInArrow(trimmed(run), f"{schema}, text string"), "resolved")
     rest = resolved.filter(F.col("text").isNotNull()).select("doc_id", "text", F.sha2("text", 256).alias("key"))
 
     def occurrences(batches):

@@ -54,3 +54,31 @@ def words(text: Column | str) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def trimmed(run):
+    """``run`` for mapInArrow, giving freed memory back to the system when its task ends: workers live on, and their memory counts as the executor's."""
+
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow
+
+            gc.collect()
+            pyarrow.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # only glibc has it
+                pass
+
+    return tidy
+
+
+def small_batches(spark: SparkSession, size: str = "8m", rows: str = "2000") -> None:
+    """Arrow batches of texts of at most so many bytes and rows, for bounded workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)

@@ -37,12 +37,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, small
+from .common import cut, small, small_batches, trimmed
 
 #: Rows of two numbers that are broadcast at most.
 BROADCAST_ROWS = 1_000_000
 #: Words whose hash a worker remembers; the growth of bands; further parts as a share of k.
-MEMO_WORDS, BAND, SPARE = 500_000, 1.4, 0.4
+MEMO_WORDS, BAND, SPARE = 300_000, 1.4, 0.4
 #: Texts of the sample of frequent shingles, sample texts that hold one at least, and how many are kept; the similarity below which it is made.
 SAMPLE_TEXTS, FREQUENT_IN, FREQUENT_MOST, FREQUENT_BELOW = 4000, 3, 1 << 18, 85
 #: Parts of the domain for small k; sets and bytes of text in a block, shingles in a slice of a comparison.
@@ -150,7 +150,7 @@ def nodes(docs: DataFrame, n: int) -> DataFrame:
             sets = [shingles(t.as_py(), n, hashes) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([node_of(x) if len(x) else None for x in sets], pa.int64())], ["doc_id", "n_shingles", "node"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, node long")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), f"doc_id {kind}, n_shingles long, node long")
 
 
 def frequent_shingles(docs: DataFrame, n: int, texts: int) -> np.ndarray:
@@ -165,7 +165,7 @@ def frequent_shingles(docs: DataFrame, n: int, texts: int) -> np.ndarray:
 
     share = min(1.0, SAMPLE_TEXTS / max(1, texts))
     sample = docs.select("text").filter(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    rows = sample.mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT_IN)
+    rows = sample.mapInArrow(trimmed(run), "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT_IN)
     return np.sort(rows.orderBy(F.desc("n"), "s").limit(FREQUENT_MOST).select("s").toArrow()["s"].to_numpy().view(np.uint64))
 
 
@@ -190,7 +190,7 @@ def signed(docs: DataFrame, n: int, percent: int, texts: int) -> DataFrame:
                 if sigs:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.repeat(np.array(owners, np.int64), lengths))], ["sig", "node"])
 
-    return docs.select("text").mapInArrow(run, "sig long, node long")
+    return docs.select("text").mapInArrow(trimmed(run), "sig long, node long")
 
 
 def groups(docs: DataFrame, n: int, percent: int, texts: int) -> DataFrame:
@@ -215,7 +215,7 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFr
 
     of_a, of_b = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
     joined = pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(trimmed(run), "a long, b long")
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -287,7 +287,7 @@ def settled(rows: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
                         out.append((left[i]["node"], right[j]["node"]))
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
 
-    return work.repartition(max(1, work.sparkSession.sparkContext.defaultParallelism * 4)).mapInArrow(run, "a long, b long")
+    return work.repartition(max(1, work.sparkSession.sparkContext.defaultParallelism * 4)).mapInArrow(trimmed(run), "a long, b long")
 
 
 def root(parent: dict[int, int], x: int) -> int:
@@ -334,7 +334,7 @@ def texts_of(docs: DataFrame, owners: DataFrame, n: int) -> DataFrame:
 
     asked = small(owners.withColumnRenamed("doc_id", "__of"), BROADCAST_ROWS)
     rows = docs.select("doc_id", "text").join(asked, F.col("doc_id").eqNullSafe(F.col("__of"))).select("node", "text")
-    return rows.mapInArrow(run, "node long, text string").dropDuplicates(["node"])
+    return rows.mapInArrow(trimmed(run), "node long, text string").dropDuplicates(["node"])
 
 
 def components_of(docs: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
@@ -347,6 +347,7 @@ def components_of(docs: DataFrame, known: DataFrame, n: int, percent: int) -> Da
 
 def components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text); see the module's text."""
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     known = cut(nodes(docs, n), "nodes")
     return components_of(docs, known, n, percent).select("doc_id", "n_shingles", "component_id")
@@ -354,6 +355,7 @@ def components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
 
 def representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component: that with the smallest doc_id; rows with empty sets all stay."""
+    small_batches(docs.sparkSession)
     known = cut(nodes(docs.select("doc_id", "text"), n), "nodes")
     found = cut(components_of(docs.select("doc_id", "text"), known, n, percent).filter("node is not null"), "components")
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
@@ -367,7 +369,7 @@ def representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
 
     names = [*docs.columns, "__node"]
     rows = docs.select("*", F.col("text").alias("__text"))
-    rows = rows.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
+    rows = rows.mapInArrow(trimmed(run), T.StructType([*docs.schema.fields, T.StructField("__node", T.LongType())]))
     others = small(others.select(F.col("doc_id").alias("__doc"), F.col("node").alias("__other")), BROADCAST_ROWS)
     rows = rows.join(others, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__node") == F.col("__other")), "left_anti")
     ties = found.filter(stays).groupBy("component").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("component").alias("__component"))

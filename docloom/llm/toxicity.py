@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches, trimmed
+
 BINS, SIZES, FEATURES, MAX_TRAIN = 1 << 18, (2, 3, 4, 5), 2000, 20_000
 #: L2 penalty and steps of the regression; bins in fewer training texts are no features.
 PENALTY, STEPS, LEAST_TEXTS = 1e-3, 200, 2
@@ -66,6 +68,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) ->
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> tuple[np.ndarray, float]:
     """(weights by bin, intercept)."""
+    small_batches(docs.sparkSession)
     rows = training_rows(docs, labels, most)
 
     def count(batches):
@@ -78,7 +81,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> tuple[np
         at = np.flatnonzero(found.sum(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], at])), pa.array(np.concatenate([rows[:1], found[0, at]])), pa.array(np.concatenate([rows[1:], found[1, at]]))], ["bin", "other", "toxic"])
 
-    totals = rows.select("toxic", "text").mapInArrow(count, "bin long, other long, toxic long").groupBy("bin").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).toArrow()
+    totals = rows.select("toxic", "text").mapInArrow(trimmed(count), "bin long, other long, toxic long").groupBy("bin").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic")).toArrow()
     other, toxic = np.zeros(BINS + 1, np.int64), np.zeros(BINS + 1, np.int64)
     other[totals["bin"].to_numpy()], toxic[totals["bin"].to_numpy()] = totals["other"].to_numpy(), totals["toxic"].to_numpy()
     n0, n1, p, q = int(other[-1]), int(toxic[-1]), toxic[:BINS].astype(float), other[:BINS].astype(float)
@@ -99,7 +102,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> tuple[np
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.int32()))], ["doc_id", "toxic", "at"])
 
     kind = dict(rows.dtypes)["doc_id"]
-    matrix = rows.select("doc_id", "toxic", "text").mapInArrow(features, f"doc_id {kind}, toxic int, at array<int>").toArrow().sort_by("doc_id").combine_chunks()
+    matrix = rows.select("doc_id", "toxic", "text").mapInArrow(trimmed(features), f"doc_id {kind}, toxic int, at array<int>").toArrow().sort_by("doc_id").combine_chunks()
     y = (matrix["toxic"].to_numpy() > 0).astype(float)
     lists = matrix["at"].combine_chunks()
     lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
@@ -142,7 +145,7 @@ def score_column(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[st
     names = [*keep, "__score"]
     rows = docs.select(*keep, F.col("text").alias("__text"))
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField("__score", T.DoubleType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> DataFrame:
