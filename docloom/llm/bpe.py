@@ -30,15 +30,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, trimmed
+from .common import cut, give_back, small_batches, trimmed
 from .token_counts import load
 
 #: The byte-level pre-tokenizer's pattern, with the letters first, as no other branch can match where they do.
 PATTERN = regex.compile(r" ?\p{L}++|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+")
 #: Bytes of the broadcast part of the word table, distinct words that a map task holds, and words that a worker remembers.
 HEAD_BYTES, HELD_WORDS, MEMO_WORDS = 96_000_000, 250_000, 300_000
-#: Texts that are looked up at a time.
-TEXTS = 400
+#: Texts that are looked up at a time, and words that the driver moves at a time.
+TEXTS, WORDS_MOVED = 400, 1 << 18
 #: Marks a special string among words. No word can equal it: the pattern never joins white space to what follows but for one space.
 MARK = "\n\nspecial:"
 
@@ -134,8 +134,12 @@ class Head:
         order = np.argsort(h, kind="stable")
         lengths = np.diff(offsets)[order]
         self.h, self.offsets = h[order], np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-        where = np.repeat(offsets[:-1][order] - offsets[0] - self.offsets[:-1], lengths) + np.arange(self.offsets[-1])
-        self.ids = ids[where].astype(np.int32)
+        del rows, h
+        shift = (offsets[:-1][order] - offsets[0] - self.offsets[:-1]).astype(np.int32)
+        self.ids = np.empty(int(self.offsets[-1]), np.int32)
+        for k in range(0, len(order), WORDS_MOVED):  # some words at a time, for small intermediates
+            a, b = self.offsets[k], self.offsets[min(len(order), k + WORDS_MOVED)]
+            self.ids[a:b] = ids[np.repeat(shift[k : k + WORDS_MOVED], lengths[k : k + WORDS_MOVED]) + np.arange(a, b)]
 
     def find(self, words: list[str]) -> dict[str, str]:
         """The ids of the words found, as decimals joined by commas."""
@@ -227,7 +231,9 @@ def bpe_digests(docs: DataFrame, path: str, head_bytes: int = HEAD_BYTES) -> Dat
         if total > head_bytes:
             least, whole = 2 ** (int(row["level"]) + 1), False
             break
+    give_back()
     head = spark.sparkContext.broadcast(Head(table.filter(F.col("n") >= least).select("h", "ids").toArrow()))
+    give_back()
 
     def run(batches):
         split, (memo, decoder) = splitter(path), remembered(head, path)

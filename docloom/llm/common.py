@@ -56,24 +56,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Give freed memory back to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only glibc has it
+        pass
+
+
 def trimmed(run):
-    """``run`` for mapInArrow, giving freed memory back to the system when its task ends: workers live on, and their memory counts as the executor's."""
+    """``run`` for mapInArrow, giving memory back when its task ends: workers live on, and their memory counts as the executor's."""
 
     def tidy(batches):
         try:
             yield from run(batches)
         finally:
-            import ctypes
-            import gc
-
-            import pyarrow
-
-            gc.collect()
-            pyarrow.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL(None).malloc_trim(0)
-            except (AttributeError, OSError):  # only glibc has it
-                pass
+            give_back()
 
     return tidy
 

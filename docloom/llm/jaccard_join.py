@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, small, small_batches, trimmed
+from .common import cut, give_back, small, small_batches, trimmed
 
 #: Rows of two numbers that are broadcast at most.
 BROADCAST_ROWS = 1_000_000
@@ -240,6 +240,7 @@ def connected(edges: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
     """(node, component) of the nodes that have links. ``known`` is ``nodes`` of ``docs``."""
+    give_back()
     found = cut(groups(docs, n, percent, known.count()), "groups")
     pairs = found.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     pairs = cut(pairs, "pairs")

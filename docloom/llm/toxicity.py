@@ -24,11 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches, trimmed
+from .common import give_back, small_batches, trimmed
 
 BINS, SIZES, FEATURES, MAX_TRAIN = 1 << 18, (2, 3, 4, 5), 2000, 20_000
 #: L2 penalty and steps of the regression; bins in fewer training texts are no features.
 PENALTY, STEPS, LEAST_TEXTS = 1e-3, 200, 2
+#: Training rows that a step of the regression takes at a time.
+FIT_ROWS = 1000
 _BLANKS = re.compile(r"[\x20\x09-\x0D]+")
 #: Characters hashed at a time.
 PIECE = 1 << 20
@@ -108,21 +110,30 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> tuple[np
     lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
     fitted, bias = fit(lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()), y, ratio[chosen])
     weights[chosen] = fitted
+    del matrix, lists
+    give_back()
     return weights, bias
 
 
 def fit(at: np.ndarray, lengths: np.ndarray, y: np.ndarray, ratio: np.ndarray, penalty: float = PENALTY, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Weights (log-count ratio times coefficient) and intercept of an L2-penalised logistic regression, by Adam on all rows."""
-    row = np.repeat(np.arange(len(y)), lengths)
+    ends = np.cumsum(lengths)
+    parts = []  # a few rows at a time, for small intermediates
+    for first in range(0, len(y), FIT_ROWS):
+        last = min(len(y), first + FIT_ROWS)
+        parts.append((slice(first, last), at[(ends[first - 1] if first else 0) : ends[last - 1]], np.repeat(np.arange(last - first, dtype=np.int32), lengths[first:last])))
     balance = np.where(y > 0, np.sqrt((len(y) - y.sum()) / max(1, y.sum())), 1.0)
     balance /= balance.mean()
     w, b = np.zeros(len(ratio)), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     m, v, mb, vb = np.zeros(len(w)), np.zeros(len(w)), 0.0, 0.0
     for t in range(1, steps + 1):
-        score = np.bincount(row, weights=(ratio * w)[at], minlength=len(y)) + b
-        error = balance * (1 / (1 + np.exp(-np.clip(score, -30, 30))) - y) / len(y)
-        g = np.bincount(at, weights=error[row], minlength=len(w)) * ratio + penalty * w
-        gb = error.sum()
+        scaled, g, gb = ratio * w, np.zeros(len(w)), 0.0
+        for rows, some, row in parts:
+            score = np.bincount(row, weights=scaled[some], minlength=rows.stop - rows.start) + b
+            error = balance[rows] * (1 / (1 + np.exp(-np.clip(score, -30, 30))) - y[rows]) / len(y)
+            g += np.bincount(some, weights=error[row], minlength=len(w))
+            gb += error.sum()
+        g = g * ratio + penalty * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         rate = 0.05 * (1 - t / (steps + 1))
