@@ -36,7 +36,7 @@ from .token_counts import load
 #: The byte-level pre-tokenizer's pattern, with the letters first, as no other branch can match where they do.
 PATTERN = regex.compile(r" ?\p{L}++|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+")
 #: Bytes of the broadcast part of the word table, distinct words that a map task holds, and words that a worker remembers.
-HEAD_BYTES, HELD_WORDS, MEMO_WORDS = 96_000_000, 250_000, 300_000
+HEAD_BYTES, HELD_WORDS, MEMO_WORDS = 96_000_000, 400_000, 300_000
 #: Texts that are looked up at a time, and words that the driver moves at a time.
 TEXTS, WORDS_MOVED = 400, 1 << 18
 #: Marks a special string among words. No word can equal it: the pattern never joins white space to what follows but for one space.
@@ -55,6 +55,7 @@ class Splitter:
         self.special = {x["content"]: x["id"] for x in json.load(open(path))["added_tokens"]}
         self.cut_at = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.agrees: dict[str, bool] = {}
+        self.good: set[str] = set()
 
     def _library(self, text: str) -> list[str]:
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
@@ -63,10 +64,12 @@ class Splitter:
         if c not in self.agrees:
             probe = f"a{c}1{c}!{c} {c}{c}"
             self.agrees[c] = PATTERN.findall(probe) == self._library(probe)
+            if self.agrees[c]:
+                self.good.add(c)
         return self.agrees[c]
 
     def plain(self, text: str) -> list[str]:
-        if text.isascii() or all(map(self._same, set(text))):
+        if text.isascii() or all(map(self._same, set(text) - self.good)):
             return PATTERN.findall(text)
         return self._library(text)
 
@@ -201,7 +204,11 @@ class Memo(dict):
             found = self.head.find(list(self.missing))
             if len(self) < MEMO_WORDS:
                 self.update(found)
-            rows = [[p or found.get(w) for p, w in zip(parts, words)] if None in parts else parts for parts, words in zip(rows, lists)]
+            for parts, words in zip(rows, lists):
+                at = -1
+                for _ in range(parts.count(None)):
+                    at = parts.index(None, at + 1)
+                    parts[at] = found.get(words[at])
         return rows
 
 
