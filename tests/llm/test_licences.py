@@ -28,3 +28,45 @@ def test_against_brute_force(spark):
     assert got == sorted(((i, *brute(t)) for i, t, _ in rows), key=str)
     assert {g[3] for g in got} >= {"", "MIT", "Apache-2.0;CC-BY-NC-4.0", "BSD-3-Clause", "BSD-2-Clause", "GPL-3.0"}
     assert licence_rows(df.limit(0)).count() == 0 and len(set(CODE.values())) == len(SENTENCES)
+
+
+WARRANTY = "This program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n"
+BSD = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n"
+MIT = 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED'
+ISC = 'Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\n'
+#: Official wordings, with their wraps.
+OFFICIAL = [
+    ("MIT", MIT),
+    ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "// SPDX-License-Identifier: MIT\nint main();"),
+    ("ISC", ISC + 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES\nWITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF\nMERCHANTABILITY AND FITNESS. IN NO EVENT'),
+    ("ISC", ISC),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law'),
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "# spdx-license-identifier: Apache-2.0"),
+    ("BSD-3-Clause", BSD + "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n"),
+    ("BSD-2-Clause", BSD),
+    ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.\n\n" + WARRANTY),
+    ("GPL-3.0-or-later", "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 3 of the License, or\n(at your option) any later version.\n\n" + WARRANTY),
+    ("GPL-3.0-or-later", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.\n\n" + WARRANTY),
+    ("GPL-2.0-or-later", " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation, either version 2 of the License, or\n * (at your option) any later version.\n\n * " + WARRANTY),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright\nand related or neighboring rights to this work."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("MPL-2.0", "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed with this\n * file, You can obtain one at https://mozilla.org/MPL/2.0/. */"),
+    ("", "Identifier: MIT. Mit. SPDX-License-Identifier; v. 2.0"),
+]
+
+
+def test_official_wordings(spark):
+    rows = [(i, "Copyright (c) 2020 A. B.\n\n" + t) for i, (_, t) in enumerate(OFFICIAL)]
+    got = {r.doc_id: (r.by_line, r.by_paragraph, r.licences) for r in licence_rows(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i][2] for i in range(len(rows))] == [x for x, _ in OFFICIAL]
+    assert got == {i: brute(t) for i, t in rows}
+    assert {x for x, _ in OFFICIAL if x} == {x for _, x, _ in RULES}
