@@ -1,7 +1,8 @@
 """A query for each operator over the given tables, with DuckDB SQL for those that SQL can express.
 
 The tables hold no images, formulas or Markdown, so a query derives such columns first. The derivations are SQL that both
-engines read; they work on whole tables and whole texts.
+engines read; they work on whole tables and, but for CONTENT, on whole texts. Where the SQL of an image query holds CONTENT,
+a query of the same name and _whole, without SQL, takes whole texts.
 """
 
 from __future__ import annotations
@@ -472,16 +473,21 @@ def content_hash(spark, sf):
     return read(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), F.md5(F.encode("text", "UTF-8")).alias("md5"))
 
 
-def _embedded(spark, sf):
-    """Each document with one, two or no embedded images; every fifth is no whole base64."""
+def _embedded(spark, sf, content=CONTENT, after=""):
+    """Each document with one, two or no embedded images; every fifth is no whole base64. ``after`` is SQL for what follows them."""
     docs = read(spark, sf, "documents")
-    data = im.encoded(F.encode(F.expr(CONTENT), "UTF-8"))
+    data = im.encoded(F.encode(F.expr(content), "UTF-8"))
     image = lambda alt, kind, b: F.concat(F.lit("!["), alt, F.lit(f"](data:image/{kind};base64,"), b, F.lit(")"))
     bad = F.when(F.col("doc_id") % 5 == 0, image(F.lit("bad"), "png", F.lit("AAA"))).otherwise(F.lit(""))
-    md = F.concat(F.lit("a "), bad, F.lit(" b "), image(F.concat(F.lit("  "), "lang", F.lit("  x ")), "jpeg", data), F.lit("\n"), F.when(F.col("doc_id") % 2 == 0, image(F.lit(""), "png", im.encoded(F.encode("source", "UTF-8")))).otherwise(F.lit("")))
+    md = F.concat(F.lit("a "), bad, F.lit(" b "), image(F.concat(F.lit("  "), "lang", F.lit("  x ")), "jpeg", data), F.lit("\n"), F.when(F.col("doc_id") % 2 == 0, image(F.lit(""), "png", im.encoded(F.encode("source", "UTF-8")))).otherwise(F.lit("")), F.expr(after or "''"))
     return docs.select("doc_id", F.expr(STEM).alias("stem"), md.alias("md"))
 
 
+def _embedded_whole(spark, sf):
+    """As ``_embedded``, with a document's whole text as an image's content and below the images."""
+    return _embedded(spark, sf, "text", "concat(chr(10), text)")
+
+
 _IMAGES = f"""
     WITH e AS (SELECT doc_id, 1 AS occurrence, lang || ' x' AS alt, 'jpg' AS ext, encode({CONTENT}) AS c FROM documents
                UNION ALL SELECT doc_id, 2, 'Image', 'png', encode(source) FROM documents WHERE doc_id % 2 = 0),
@@ -490,7 +496,16 @@ _IMAGES = f"""
 
 @query(_IMAGES + " SELECT doc_id, CAST(occurrence AS BIGINT) AS occurrence, alt, original_file, sha256 FROM i")
 def image_occurrence(spark, sf):
-    return im.embedded_images(_embedded(spark, sf)).filter("occurrence is not null").select("doc_id", F.col("occurrence").cast("long").alias("occurrence"), "alt", "original_file", "sha256")
+    return _occurrences(_embedded(spark, sf))
+
+
+@query()
+def image_occurrence_whole(spark, sf):
+    return _occurrences(_embedded_whole(spark, sf))
+
+
+def _occurrences(docs):
+    return im.embedded_images(docs).filter("occurrence is not null").select("doc_id", F.col("occurrence").cast("long").alias("occurrence"), "alt", "original_file", "sha256")
 
 
 @query(_IMAGES + f"""
@@ -502,11 +517,25 @@ def split_images(spark, sf):
     return im.split_images(docs, im.embedded_images(docs)).select("doc_id", "md")
 
 
+@query()
+def split_images_whole(spark, sf):
+    docs = _embedded_whole(spark, sf)
+    return im.split_images(docs, im.embedded_images(docs)).select("doc_id", "md")
+
+
 @query(_IMAGES + f"""
     SELECT i.doc_id, '{{"version":1,"source":"' || s || '.pdf","markdown":"' || s || '.md","images_dir":"' || s || '.images","entries":[' || string_agg('{{"occurrence":' || occurrence || ',"alt":"' || alt || '","original_file":"' || original_file || '","final_file":"' || original_file || '","status":"kept","page":null,"bbox":null,"coord_system":null,"content_sha256":"' || sha256 || '"}}', ',' ORDER BY occurrence) || ']}}' AS image_map
     FROM i JOIN (SELECT doc_id, {STEM} AS s FROM documents) d ON i.doc_id = d.doc_id GROUP BY i.doc_id, s""".replace("{{", "{").replace("}}", "}"))
 def image_map_json(spark, sf):
-    docs = _embedded(spark, sf)
+    return _map_of(_embedded(spark, sf))
+
+
+@query()
+def image_map_json_whole(spark, sf):
+    return _map_of(_embedded_whole(spark, sf))
+
+
+def _map_of(docs):
     rows = im.embedded_images(docs).filter("occurrence is not null").join(docs.select("doc_id", "stem"), "doc_id")
     box = "struct<l:double,t:double,r:double,b:double>"
     return im.image_map(rows.select("doc_id", F.concat("stem", F.lit(".pdf")).alias("source"), F.concat("stem", F.lit(".md")).alias("markdown"), F.concat("stem", F.lit(".images")).alias("images_dir"), "occurrence", "alt", "original_file", F.col("original_file").alias("final_file"), F.lit("kept").alias("status"), F.lit(None).cast("int").alias("page"), F.lit(None).cast(box).alias("bbox"), F.lit(None).cast("string").alias("coord_system"), F.col("sha256").alias("content_sha256")))
@@ -649,7 +678,7 @@ def image_map_align(spark, sf):
 
 @query()
 def postprocess_refs(spark, sf):
-    docs = _embedded(spark, sf)
+    docs = _embedded_whole(spark, sf)
     images = im.embedded_images(docs)
     files = images.filter("occurrence is not null").select("doc_id", F.col("original_file").alias("name"), "content")
     return postprocess(im.split_images(docs, images), files)[0].select("doc_id", "md")
@@ -657,7 +686,7 @@ def postprocess_refs(spark, sf):
 
 @query()
 def convert_documents(spark, sf):
-    docs = _embedded(spark, sf).withColumn("source_name", F.concat("stem", F.lit(".pdf")))
+    docs = _embedded_whole(spark, sf).withColumn("source_name", F.concat("stem", F.lit(".pdf")))
     return convert(docs).documents
 
 

@@ -1,10 +1,14 @@
 """Every query of the library against its SQL, run by DuckDB over the same files."""
 
+import hashlib
+import json
 import math
 import os
 
 import pytest
 
+from docloom.functions.text import drop_guid_lines
+from docloom.plans.convert import text_pipeline
 from docloom.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -50,3 +54,31 @@ def test_empty_tables(spark, tmp_path):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     for name in ("clean_markdown", "dedupe_stats", "dedupe_refs", "split_images", "ocr_group_rows", "hamming_pairs", "section_assemble", "pages_to_markdown"):
         assert QUERIES[name](spark, f"file://{tmp_path}").count() == 0, name
+
+
+@needs_data
+def test_image_queries_take_whole_texts(spark):
+    """Against brute force: whole texts as contents of images and below them."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    found, split, named, maps = set(), {}, {}, {}
+    for d in docs:
+        stem, bad = f"d{d.doc_id % 50}", "![bad](data:image/png;base64,AAA)" if d.doc_id % 5 == 0 else ""
+        images = [(f"{d.lang} x", "jpg", d.text)] + ([("Image", "png", d.source)] if d.doc_id % 2 == 0 else [])
+        sha = [hashlib.sha256(c.encode()).hexdigest() for _, _, c in images]
+        files = [f"image_00{i}_{hashlib.md5(c.encode()).hexdigest()[:8]}.{e}" for i, (_, e, c) in enumerate(images, 1)]
+        found |= {(d.doc_id, i, a, f, h) for i, ((a, _, _), f, h) in enumerate(zip(images, files, sha), 1)}
+
+        def md(names):
+            refs = [f"![{a}]({stem}.images/{n})" for (a, _, _), n in zip(images, names)] + [""]
+            return f"a {bad} b {refs[0]}\n{refs[1]}\n{d.text}"
+
+        split[d.doc_id], named[d.doc_id] = md(files), md([f"{h[:16]}.{e}" for h, (_, e, _) in zip(sha, images)])
+        maps[d.doc_id] = [(i, f, h) for i, (f, h) in enumerate(zip(files, sha), 1)]
+    of = lambda name: QUERIES[name](spark, SF)
+    assert max(len(d.text) for d in docs) > 10000
+    assert {(r.doc_id, r.occurrence, r.alt, r.original_file, r.sha256) for r in of("image_occurrence_whole").collect()} == found
+    assert {r.doc_id: r.md for r in of("split_images_whole").collect()} == split
+    assert {r.doc_id: [(e["occurrence"], e["final_file"], e["content_sha256"]) for e in json.loads(r.image_map)["entries"]] for r in of("image_map_json_whole").collect()} == maps
+    rows = lambda x: spark.createDataFrame(list(x.items()), "doc_id long, md string").withColumn("md", drop_guid_lines("md"))
+    assert {r.doc_id: r.md for r in of("postprocess_refs").collect()} == {r.doc_id: r.md for r in rows(split).collect()}
+    assert {r.doc_id: r.md for r in of("convert_documents").collect()} == {r.doc_id: r.md for r in text_pipeline(rows(named)).collect()}
