@@ -1,8 +1,8 @@
 """A query for each operator over the given tables, with DuckDB SQL for those that SQL can express.
 
 The tables hold no images, formulas or Markdown, so a query derives such columns first. The derivations are SQL that both
-engines read; they work on whole tables and, but for CONTENT, on whole texts. Where the SQL of an image query holds CONTENT,
-a query of the same name and _whole, without SQL, takes whole texts.
+engines read; they work on whole tables and, but for CONTENT and FORMULA, on whole texts. Where a query's SQL holds one of
+these, a query of the same name and _whole, without SQL, takes whole texts.
 """
 
 from __future__ import annotations
@@ -53,6 +53,7 @@ IMAGE_SRC = "case page_id % 6 when 0 then concat('img/a', page_id, '.GIF') when
 NOISE = "concat('• ', replace(text, 'the', 'read - only /C0109m'), chr(10), '- • as -is Â', lang, chr(10), '  •  fourlayer ', '', '', chr(10), '## AND', 10000 + doc_id, '/D', chr(10), '# confidential and proprietary ', lang, chr(10), '1', chr(10), '2 3', chr(10), '4.5', chr(10), '6,', chr(10), '7:8', chr(10), '9', case doc_id % 2 when 0 then concat(chr(10), '10', chr(10)) else '' end, 'x', chr(10), '1', chr(10), '2', chr(10), chr(10), chr(10), doc_id)"
 FENCED = "concat('• a', chr(10), '```', chr(10), '• read - only ', lang, chr(10), '```', chr(10), '• b', chr(10), text, chr(10), '~~~', chr(10), 'as -is', chr(10), '~~~', chr(10), 'as -is', case doc_id % 3 when 0 then concat(chr(10), '```open ') else '' end, chr(10), chr(10), '12')"
 FORMULA = "concat('R _ { ', lang, ' } = ', chr(92), 'mu A ', chr(92), 'max  off ', chr(92), ', 1', chr(92), ',2', chr(92), ',3 ', chr(92), ', ', chr(92), 'x', chr(10), ' y', chr(9), left(replace(text, '$', ''), 60), case doc_id % 4 when 0 then chr(92) else '' end)"
+FORMULA_WHOLE = FORMULA.replace("left(replace(text, '$', ''), 60)", "text")
 MATH = "concat('Use $V _ { CR }$ and $$I_{', upper(lang), 'x}=', chr(92), 'mathsf{a_{b}}$$ or $t_{n}$ with VCR, V CR, V<sub>CR</sub> I', upper(lang), 'x and $5 to $10 ', text)"
 LABEL = "concat(text, case doc_id % 5 when 0 then concat('Equation ', doc_id, '.') when 1 then concat('[Equation ', doc_id, ']') when 2 then concat('eqn (', doc_id, '): ') when 3 then concat('EQ. ', doc_id, chr(10), 'GUID-1-low.gif') else 'Equation x' end, chr(10), case doc_id % 2 when 0 then chr(10) else '' end)"
 CONTENT = "left(text, 40)"
@@ -256,11 +257,21 @@ def latex_despace(spark, sf):
     return derived(spark, sf, "documents", "doc_id", f=FORMULA).select("doc_id", latex.latex_despace(F.col("f")).alias("latex"))
 
 
+@query()
+def latex_despace_whole(spark, sf):
+    return derived(spark, sf, "documents", "doc_id", f=FORMULA_WHOLE).select("doc_id", latex.latex_despace(F.col("f")).alias("latex"))
+
+
 @query(f"SELECT doc_id, regexp_replace(regexp_replace({FORMULA}, '(\\d)\\\\,(\\d)', '\\1\\2', 'g'), '(\\d)\\\\,(\\d)', '\\1\\2', 'g') AS latex FROM documents")
 def latex_thinspace(spark, sf):
     return derived(spark, sf, "documents", "doc_id", f=FORMULA).select("doc_id", latex.latex_thinspace(F.col("f")).alias("latex"))
 
 
+@query()
+def latex_thinspace_whole(spark, sf):
+    return derived(spark, sf, "documents", "doc_id", f=FORMULA_WHOLE).select("doc_id", latex.latex_thinspace(F.col("f")).alias("latex"))
+
+
 _VARS = "concat('Use $V_{CR}$ and $$I_{', upper(lang), 'x}+t_{n}+V_{CR}$$ not V_{XY} ', replace(replace(text, '$', ''), '_', ''))"
 
 

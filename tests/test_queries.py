@@ -4,6 +4,7 @@ import hashlib
 import json
 import math
 import os
+import re
 
 import pytest
 
@@ -82,3 +83,18 @@ def test_image_queries_take_whole_texts(spark):
     rows = lambda x: spark.createDataFrame(list(x.items()), "doc_id long, md string").withColumn("md", drop_guid_lines("md"))
     assert {r.doc_id: r.md for r in of("postprocess_refs").collect()} == {r.doc_id: r.md for r in rows(split).collect()}
     assert {r.doc_id: r.md for r in of("convert_documents").collect()} == {r.doc_id: r.md for r in text_pipeline(rows(named)).collect()}
+
+
+@needs_data
+def test_latex_queries_take_whole_texts(spark):
+    """Against brute force over tokens, as in the SQL of the queries on prefixes."""
+    despaced, thin = {}, {}
+    for d in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        f = f"R _ {{ {d.lang} }} = \\mu A \\max  off \\, 1\\,2\\,3 \\, \\x\n y\t{d.text}" + "\\" * (d.doc_id % 4 == 0)
+        t = re.findall(r"\\[A-Za-z]+|\\.|\s+|[^\\\s]", f)
+        blank = lambda k: " " * bool(re.fullmatch(r"\\[A-Za-z]+", t[k - 1]) and k + 1 < len(t) and t[k + 1][0].isalpha())
+        despaced[d.doc_id] = "".join(blank(k) if x.isspace() else x for k, x in enumerate(t))
+        thin[d.doc_id] = re.sub(r"(?<=\d)\\,(?=\d)", "", f)
+    assert max(map(len, thin.values())) > 10000
+    assert {r.doc_id: r.latex for r in QUERIES["latex_despace_whole"](spark, SF).collect()} == despaced
+    assert {r.doc_id: r.latex for r in QUERIES["latex_thinspace_whole"](spark, SF).collect()} == thin
