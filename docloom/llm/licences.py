@@ -58,12 +58,18 @@ SENTENCES = {
     "gpl2-modify": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
     "gpl3-either": "either version 3 of the license or at your option any later version",
     "gpl2-either": "either version 2 of the license or at your option any later version",
+    # After a holder's name that ends in a stop.
+    "bsd-contributors": "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "mit-project": "this project is licensed under the mit license",
+    "cc-by-work": "this work is licensed under a creative commons attribution 4 0 international license",
+    "cc-by-name": "creative commons attribution 4 0 international",
 }
 #: Fixed values: (family, licence, sentences in order), the first of a family first.
 RULES = (
     ("mit", "MIT", ("mit-grant", "mit-condition")),
     ("mit", "MIT", ("mit-notice",)),
     ("mit", "MIT", ("mit-licensed",)),
+    ("mit", "MIT", ("mit-project",)),
     ("mit", "MIT", ("spdx-mit",)),
     ("isc", "ISC", ("isc-grant", "isc-warranty")),
     ("isc", "ISC", ("isc-grant",)),
@@ -73,6 +79,7 @@ RULES = (
     ("apache", "Apache-2.0", ("apache-notice",)),
     ("apache", "Apache-2.0", ("spdx-apache",)),
     ("bsd", "BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
+    ("bsd", "BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-contributors")),
     ("bsd", "BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("gpl", "GPL-3.0-or-later", ("gpl-redistribute", "gpl-hope")),
     ("gpl", "GPL-3.0-or-later", ("gpl-free", "gpl3-modify", "gpl-hope")),
@@ -86,6 +93,8 @@ RULES = (
     ("cc", "CC-BY-NC-4.0", ("cc-by-nc",)),
     ("cc", "CC-BY-SA-4.0", ("cc-by-sa",)),
     ("cc", "CC-BY-4.0", ("cc-by",)),
+    ("cc", "CC-BY-4.0", ("cc-by-work",)),
+    ("cc", "CC-BY-4.0", ("cc-by-name",)),
     ("cc0", "CC0-1.0", ("cc0",)),
     ("unlicense", "Unlicense", ("unlicense",)),
     ("mpl", "MPL-2.0", ("mpl",)),
@@ -99,7 +108,9 @@ CODE = {name: chr(0x4E00 + i) for i, name in enumerate(SENTENCES)}
 
 
 def normalised(sentence: Column) -> Column:
-    return F.btrim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+    """Whoever holds the copyright of a BSD text is the copyright holder."""
+    words = F.btrim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+    return F.when(words.startswith("neither the name of "), F.regexp_replace(words, "^neither the name of .+ (?=nor the names of its contributors )", "neither the name of the copyright holder ")).otherwise(words)
 
 
 def sequence(text: Column, ends: str) -> Column:

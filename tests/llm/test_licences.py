@@ -70,3 +70,11 @@ def test_official_wordings(spark):
     assert [got[i][2] for i in range(len(rows))] == [x for x, _ in OFFICIAL]
     assert got == {i: brute(t) for i, t in rows}
     assert {x for x, _ in OFFICIAL if x} == {x for _, x, _ in RULES}
+
+
+def test_common_wordings(spark):
+    names = "3. Neither the name of {} nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n"
+    cases = [("BSD-3-Clause", BSD + names.format(x)) for x in ("Google Inc.", "the University of X", "the <ORGANIZATION>")]
+    cases += [("MIT", "This project is licensed under the MIT License."), ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."), ("CC-BY-4.0", "Creative Commons Attribution 4.0 International"), ("", "neither the name of nor")]
+    df = spark.createDataFrame([(i, x) for i, (_, x) in enumerate(cases)], "doc_id long, text string")
+    assert {r.doc_id: r.licences for r in licence_rows(df).collect()} == {i: x for i, (x, _) in enumerate(cases)}
