@@ -1,19 +1,23 @@
 """BPE encoding and decoding through a table of distinct words.
 
-1. Texts are split in Spark into the words of the tokenizer's own pre-tokenizer, counted in the map tasks, then summed.
-2. Each distinct word is encoded once; the table (word hash, count, ids) is written to the shared folder.
-3. Ids are joined back by position. The most frequent words, as many as fit in ``head_bytes`` (so the bound does not
-   depend on the corpus), are a broadcast hash table. Occurrences of the other words are rows (text, position, word)
-   that a shuffle joins to the table; each text then puts them in place.
-4. Decoding joins each id to its piece; pieces are a table of the size of the vocabulary. Bytes are joined and read as
-   UTF-8 with U+FFFD for what is none, as the library's byte-level decoder does.
+1. Texts are split in Spark into the words of the tokenizer's own pre-tokenizer, a chunk of texts at a time. A chunk is a row: its
+   documents, the dictionary of its distinct words, and its texts as positions in that dictionary.
+2. The dictionaries' words are dealt by hash into ``BUCKETS`` buckets of the distinct-word table, where each distinct word is
+   encoded once. A word is there once per chunk, however frequent it is, so no key is hot. Words are compared as words.
+3. Ids are joined back to the chunks by position: a join on the chunk, then the positions of its texts.
+4. Decoding joins the distinct ids of a chunk to the id-to-piece table, which has the size of the vocabulary. Bytes are
+   joined and read as UTF-8 with U+FFFD for what is none, as the library's byte-level decoder does. ``decoded`` is the same
+   join for stored sequences of ids.
+
+One plan at every size: nothing that grows with the corpus is broadcast, collected or remembered from task to task. A task
+holds one chunk, or one bucket's distinct words.
 
 Words are split with the pre-tokenizer's pattern; characters that the pattern engine and the library put in different
 classes (newer Unicode versions) are found by probing the library once per distinct character and worker, and texts that
 hold one are split by the library itself. Special strings in a text become their special ids, which is the library's default.
 
 Defined results: a null or empty text has no tokens and decodes to the empty text; repeated rows each give a row; ties
-between equally frequent words do not matter, as both ways give the same ids; other columns are ignored.
+do not occur; other columns are ignored; a text longer than a chunk is a chunk of its own.
 """
 
 from __future__ import annotations
@@ -21,34 +25,30 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
-from collections import Counter
+from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, give_back, small_batches, trimmed
+from .common import cut, small_batches, trimmed
 from .token_counts import load
 
-#: The byte-level pre-tokenizer's pattern, with the letters first, as no other branch can match where they do.
+#: The byte-level pre-tokenizer's pattern, with the letters first (for speed), as no other branch can match where they do.
 PATTERN = regex.compile(r" ?\p{L}++|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+")
-#: Bytes of the broadcast part of the word table, distinct words that a map task holds, and words that a worker remembers.
-HEAD_BYTES, HELD_WORDS, MEMO_WORDS = 96_000_000, 400_000, 300_000
-#: Texts that are looked up at a time, and words that the driver moves at a time.
-TEXTS, WORDS_MOVED = 400, 1 << 18
+#: Characters of text in a chunk, buckets of the word table, words that the library encodes at a time.
+CHUNK_CHARS, BUCKETS, ENCODED = 12_000_000, 2048, 20_000
 #: Marks a special string among words. No word can equal it: the pattern never joins white space to what follows but for one space.
 MARK = "\n\nspecial:"
 
 
-def word_hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word.encode()) - 2**63
-
-
 class Splitter:
-    """Splits texts into segments: ("special", id) or the words of what lies between special strings."""
+    """Splits texts into the words of the tokenizer."""
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
@@ -82,210 +82,167 @@ class Splitter:
             out += [MARK + part] if k % 2 else self.plain(part)
         return out
 
+    def encode(self, words: list[str]) -> Iterator[list[int]]:
+        for k in range(0, len(words), ENCODED):
+            for x in self.tokenizer.encode_batch_fast([w.removeprefix(MARK) for w in words[k : k + ENCODED]], add_special_tokens=False):
+                yield x.ids
 
-@functools.lru_cache(maxsize=4)
+
+@functools.lru_cache(maxsize=2)
 def splitter(path: str) -> Splitter:
     return Splitter(path)
 
 
-def count_words(docs: DataFrame, path: str) -> DataFrame:
-    """(word, n): distinct words and their occurrences, counted in the map tasks first."""
-
-    def run(batches):
-        split, held = splitter(path), Counter()
-
-        def out():
-            yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"])
-
-        for batch in batches:
-            for text in batch.column(0):
-                if text := text.as_py():
-                    held.update(split.words(text))
-                    if len(held) > HELD_WORDS:
-                        yield from out()
-                        held.clear()
-        if held:
-            yield from out()
+class Dictionary(dict):
+    """Words to their places, in order of first sight."""
 
-    return docs.select("text").mapInArrow(trimmed(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    def __missing__(self, word: str) -> int:
+        self[word] = at = len(self)
+        return at
 
 
-def encode_words(counted: DataFrame, path: str) -> DataFrame:
-    """(h, n, ids) of each distinct word, each encoded once."""
+def lists(values: pa.Array, lengths) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), values)
 
-    def run(batches):
-        split = splitter(path)
-        for batch in batches:
-            words = batch.column(0).to_pylist()
-            ids = [x.ids for x in split.tokenizer.encode_batch_fast([w.removeprefix(MARK) for w in words], add_special_tokens=False)]
-            hashes = pa.array(map(word_hash, words), pa.int64())
-            yield pa.RecordBatch.from_arrays([hashes, batch.column(1), pa.array(ids, pa.list_(pa.int32()))], ["h", "n", "ids"])
-
-    return counted.mapInArrow(trimmed(run), "h long, n long, ids array<int>")
-
-
-class Head:
-    """The frequent part of the word table: sorted hashes, and the ids of each as one array with offsets."""
-
-    def __init__(self, rows: pa.Table):
-        rows = rows.combine_chunks()
-        h = rows["h"].to_numpy()
-        lists = rows["ids"].combine_chunks()
-        if isinstance(lists, pa.ChunkedArray):
-            lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
-        ids, offsets = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-        order = np.argsort(h, kind="stable")
-        lengths = np.diff(offsets)[order]
-        self.h, self.offsets = h[order], np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-        del rows, h
-        shift = (offsets[:-1][order] - offsets[0] - self.offsets[:-1]).astype(np.int32)
-        self.ids = np.empty(int(self.offsets[-1]), np.int32)
-        for k in range(0, len(order), WORDS_MOVED):  # some words at a time, for small intermediates
-            a, b = self.offsets[k], self.offsets[min(len(order), k + WORDS_MOVED)]
-            self.ids[a:b] = ids[np.repeat(shift[k : k + WORDS_MOVED], lengths[k : k + WORDS_MOVED]) + np.arange(a, b)]
-
-    def find(self, words: list[str]) -> dict[str, str]:
-        """The ids of the words found, as decimals joined by commas."""
-        h = np.fromiter(map(word_hash, words), np.int64, len(words))
-        at = np.searchsorted(self.h, h)
-        good = np.flatnonzero(self.h[np.minimum(at, len(self.h) - 1)] == h) if len(self.h) else []
-        out, first, last = {}, self.offsets[at[good]].tolist() if len(good) else [], self.offsets[at[good] + 1].tolist() if len(good) else []
-        for k, a, b in zip(good, first, last):
-            out[words[k]] = ",".join(map(str, self.ids[a:b].tolist()))
-        return out
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers of 32 bits, their bytes by place, compressed: places are small numbers, so most high bytes are alike."""
+    return pa.compress(np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
 
-def pieces(path: str) -> dict[str, bytes]:
-    """The id-to-piece table: the bytes of each id, by its decimal. Its size is that of the vocabulary."""
-    order = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    to_byte = {chr(b): b for b in order} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(order))}
-    out = {}
-    for token, i in load(path).get_vocab(with_added_tokens=True).items():
-        out[str(i)] = bytes(map(to_byte.__getitem__, token)) if all(c in to_byte for c in token) else token.encode()
-    return out
 
+def unpacked(blob: bytes, n: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(pa.decompress(blob, 4 * n, codec="zstd", asbytes=True), np.uint8).reshape(4, n).T).view("<i4").reshape(n)
 
-class Decoder(dict):
-    """Bytes of sequences of ids in decimals, each from the pieces of its ids at first sight."""
 
-    def __init__(self, path: str):
-        super().__init__()
-        self.piece = pieces(path)
+def chunks(docs: DataFrame, path: str, chunk_chars: int, buckets: int) -> DataFrame:
+    """Rows of two kinds. Of a chunk: (chunk, docs, lengths, places, order, words), where ``order`` numbers its words by bucket.
+    Of a chunk and a bucket: (chunk, bucket, asked), its distinct words of that bucket."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def __missing__(self, ids: str) -> bytes:
-        found = b"".join(map(self.piece.__getitem__, ids.split(",")))
-        if len(self) < MEMO_WORDS:
-            self[ids] = found
-        return found
+    def run(batches):
+        split, part, made = splitter(path), TaskContext.get().partitionId(), 0
+        schema = held = None
 
+        def out():
+            nonlocal made
+            chunk, made = (part << 32) + made, made + 1
+            words = list(held["words"])
+            bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
+            order = np.argsort(bucket, kind="stable")
+            found, sizes = np.unique(bucket, return_counts=True)
+            n, total = len(found), sum(map(len, held["places"]))
+            places = np.concatenate([*held["places"], np.empty(0, np.int32)])
+            asked = lists(pa.array(words, pa.string()).take(pa.array(order)), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array(found, pa.int32()), asked, *(pa.nulls(n, f.type) for f in list(schema)[3:])], schema=schema)
+            row = [[chunk], [None], [None], [held["docs"]], [[len(x) for x in held["places"]]], [packed(places)], [packed(order)], [total], [len(words)]]
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, schema)], schema=schema)
 
-def digests(parts: list[str], decoder: Decoder) -> tuple[int, str, str]:
-    """(n_tokens, ids_sha256, decoded_sha256) of a text from the ids of its words."""
-    joined = ",".join(parts)
-    decoded = b"".join(map(decoder.__getitem__, parts)).decode("utf-8", "replace")
-    return joined.count(",") + bool(joined), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        for batch in batches:
+            if schema is None:
+                schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("asked", pa.list_(pa.string())), ("docs", pa.list_(batch.schema.field(0).type)), ("lengths", pa.list_(pa.int32())), ("places", pa.binary()), ("order", pa.binary()), ("n_places", pa.int32()), ("n_words", pa.int32())])
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = text.as_py() or ""
+                if held is not None and held["chars"] + len(text) > chunk_chars:
+                    yield from out()
+                    held = None
+                if held is None:
+                    held = {"chars": 0, "docs": [], "places": [], "words": Dictionary()}
+                words = split.words(text)
+                held["chars"] += len(text)
+                held["docs"].append(doc)
+                held["places"].append(np.fromiter(map(held["words"].__getitem__, words), np.int32, len(words)))
+        if held is not None:
+            yield from out()
 
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), f"chunk long, bucket int, asked array<string>, docs array<{kind}>, lengths array<int>, places binary, order binary, n_places int, n_words int")
 
-class Memo(dict):
-    """Ids of words by the broadcast part of the table, as many as a worker remembers; other words are looked up anew."""
 
-    def __init__(self, head: Head):
-        super().__init__()
-        self.head, self.missing = head, set()
+def encode_words(asked: DataFrame, path: str) -> DataFrame:
+    """(chunk, bucket, ids, sizes) of rows (chunk, bucket, asked): the ids of each word. Rows come by bucket, so each distinct word is encoded once."""
 
-    def __missing__(self, word: str) -> None:
-        self.missing.add(word)
+    def run(batches):
+        split, held, last = splitter(path), {}, None
+        for batch in batches:
+            bucket, words = batch.column(1).to_pylist(), batch.column(2)
+            flat, ends = words.flatten().to_pylist(), words.offsets.to_numpy() - words.offsets[0].as_py()
+            new = list(set(flat) - held.keys())
+            held.update(zip(new, split.encode(new)))
+            found = list(map(held.__getitem__, flat))
+            counts = np.fromiter(map(len, found), np.int32, len(found))
+            ids = pa.array(np.fromiter((i for x in found for i in x), np.int32, int(counts.sum())))
+            borders = np.concatenate([[0], np.cumsum(counts)])[ends]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists(ids, np.diff(borders)), lists(pa.array(counts), np.diff(ends))], ["chunk", "bucket", "ids", "sizes"])
+            last = bucket[-1]
+            first = bucket.index(last)
+            held = {w: held[w] for w in flat[ends[first] :]}  # the next batch may go on with this bucket
+
+    return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(trimmed(run), "chunk long, bucket int, ids array<int>, sizes array<int>")
+
+
+def pieces(spark: SparkSession, path: str) -> DataFrame:
+    """The id-to-piece table (id, piece): the bytes of each id. Its size is that of the vocabulary."""
+    order = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    to_byte = {chr(b): b for b in order} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(order))}
+    rows = [(i, bytearray(bytes(map(to_byte.__getitem__, token)) if all(c in to_byte for c in token) else token.encode())) for token, i in load(path).get_vocab(with_added_tokens=True).items()]
+    return spark.createDataFrame(rows, "id int, piece binary")
 
-    def parts(self, lists: list[list[str]]) -> list[list[str | None]]:
-        """The ids of each word of each text; None for words that the head lacks."""
-        self.missing = set()
-        rows = [list(map(self.__getitem__, words)) for words in lists]
-        if self.missing:
-            found = self.head.find(list(self.missing))
-            if len(self) < MEMO_WORDS:
-                self.update(found)
-            for parts, words in zip(rows, lists):
-                at = -1
-                for _ in range(parts.count(None)):
-                    at = parts.index(None, at + 1)
-                    parts[at] = found.get(words[at])
-        return rows
 
+def decoded(sequences: DataFrame, path: str) -> DataFrame:
+    """(key, text) of rows (key, ids array<int>) with distinct keys, through a join of each id to its piece.
 
-#: A worker's memo of the last broadcast that it has seen, kept from task to task.
-_LAST: dict = {}
+    Null or empty sequences decode to the empty text; ids that the vocabulary lacks are left out, as the library does.
+    """
 
+    @F.pandas_udf("string")
+    def read(found):
+        return found.map(lambda x: bytes.fromhex(x).decode("utf-8", "replace"))
 
-def remembered(head, path: str) -> tuple[Memo, Decoder]:
-    if _LAST.get("head") is not head.value:
-        _LAST.clear()
-        _LAST.update(head=head.value, pair=(Memo(head.value), Decoder(path)))
-    return _LAST["pair"]
+    each = sequences.select("key", F.posexplode("ids").alias("at", "id"))
+    joined = each.join(F.broadcast(pieces(sequences.sparkSession, path)), "id").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("at", F.hex("piece").alias("piece")))).alias("x"))
+    rows = sequences.select("key").join(joined, "key", "left")
+    return rows.select("key", read(F.coalesce(F.array_join(F.transform("x", lambda p: p["piece"]), ""), F.lit(""))).alias("text"))
 
 
-def bpe_digests(docs: DataFrame, path: str, head_bytes: int = HEAD_BYTES) -> DataFrame:
+def bpe_digests(docs: DataFrame, path: str, chunk_chars: int = CHUNK_CHARS, buckets: int = BUCKETS) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each row of ``docs`` (doc_id, text); see the module's text."""
-    spark, docs = docs.sparkSession, docs.select("doc_id", "text")
+    spark = docs.sparkSession
     small_batches(spark)
-    kind = dict(docs.dtypes)["doc_id"]
-    table = cut(encode_words(count_words(docs, path), path), "words")
-    size = 12 + 4 * F.size("ids")
-    levels = table.groupBy(F.floor(F.log2("n")).alias("level")).agg(F.sum(size).alias("bytes")).orderBy(F.desc("level")).collect()  # a row for each power of two
-    least, total = 0, 0
-    whole = True
-    for row in levels:
-        total += row["bytes"]
-        if total > head_bytes:
-            least, whole = 2 ** (int(row["level"]) + 1), False
-            break
-    give_back()
-    head = spark.sparkContext.broadcast(Head(table.filter(F.col("n") >= least).select("h", "ids").toArrow()))
-    give_back()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    held = cut(chunks(docs, path, chunk_chars, buckets), "chunks")
+    answers = cut(encode_words(held.filter("bucket is not null").select("chunk", "bucket", "asked"), path), "ids")
+    by_chunk = answers.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "ids", "sizes"))).alias("x"))
+    by_chunk = by_chunk.select("chunk", flat(F.col("x"), "ids"), flat(F.col("x"), "sizes"))
+    texts = held.filter("bucket is null").drop("bucket", "asked").join(by_chunk, "chunk", "left")
+    used = answers.select("chunk", F.explode("ids").alias("id")).distinct().join(F.broadcast(pieces(spark, path)), "id")  # the size of the vocabulary
+    used = used.groupBy("chunk").agg(F.collect_list(F.struct("id", "piece")).alias("p"))
+    rows = texts.join(used.select("chunk", F.col("p.id").alias("piece_ids"), F.col("p.piece").alias("pieces")), "chunk", "left")
 
     def run(batches):
-        split, (memo, decoder) = splitter(path), remembered(head, path)
         for batch in batches:
-            for k in range(0, batch.num_rows, TEXTS):
-                some, out = batch.slice(k, TEXTS), []
-                texts = [t or "" for t in some.column(1).to_pylist()]
-                lists = list(map(split.words, texts))
-                for doc, text, parts in zip(some.column(0).to_pylist(), texts, memo.parts(lists)):
-                    out.append((doc, None, None, None, text) if None in parts else (doc, *digests(parts, decoder), None))
+            for row in batch.to_pylist():
+                piece = dict(zip(row["piece_ids"] or [], row["pieces"] or []))
+                ids, ends = row["ids"] or [], [0, *accumulate(row["sizes"] or [])]
+                order = unpacked(row["order"], row["n_words"])
+                assert len(ends) == len(order) + 1, "a word of the chunk has no ids"
+                number, part, content = dict(zip(piece, map(str, piece))), [""] * len(order), [b""] * len(order)
+                for at, a, b in zip(order.tolist(), ends, ends[1:]):
+                    of = ids[a:b]
+                    part[at] = ",".join(map(number.__getitem__, of))
+                    content[at] = b"".join(map(piece.__getitem__, of))
+                sizes = np.zeros(len(order), np.int64)
+                sizes[order] = row["sizes"] or []
+                places, start, out = unpacked(row["places"], row["n_places"]), 0, []
+                for doc, length in zip(row["docs"], row["lengths"]):
+                    some = places[start : start + length]
+                    start += length
+                    at = some.tolist()
+                    text = b"".join(map(content.__getitem__, at)).decode("utf-8", "replace")
+                    out.append((doc, int(sizes[some].sum()), hashlib.sha256(",".join(map(part.__getitem__, at)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
                 columns = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [batch.schema.field(0).type, pa.int64(), pa.string(), pa.string(), pa.string()])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "text"])
-
-    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    if whole:  # every distinct word is in the broadcast part
-        return docs.mapInArrow(trimmed(run), f"{schema}, text string").drop("text")
-    resolved = cut(docs.mapInArrow(trimmed(run), f"{schema}, text string"), "resolved")
-    rest = resolved.filter(F.col("text").isNotNull()).select("doc_id", "text", F.sha2("text", 256).alias("key"))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [batch.schema.field("docs").type.value_type, pa.int64(), pa.string(), pa.string()])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    def occurrences(batches):
-        split, known = splitter(path), head.value
-        for batch in batches:
-            keys, at, hashes = [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = split.words(text)
-                have = known.find(list(set(words)))
-                for pos, w in enumerate(words):
-                    if w not in have:
-                        keys.append(key), at.append(pos), hashes.append(word_hash(w))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(at, pa.int32()), pa.array(hashes, pa.int64())], ["key", "pos", "h"])
+    return rows.mapInArrow(trimmed(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
-    texts = rest.select("key", "text").dropDuplicates(["key"])
-    placed = texts.mapInArrow(occurrences, "key string, pos int, h long").join(table.filter(F.col("n") < least).select("h", "ids"), "h").groupBy("key").agg(F.collect_list(F.struct("pos", "ids")).alias("placed"))
-
-    def finish(batches):
-        split, decoder, known = splitter(path), Decoder(path), head.value
-        for batch in batches:
-            out = []
-            for doc, text, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                by = {x["pos"]: ",".join(map(str, x["ids"])) for x in ids}
-                words = split.words(text)
-                have = known.find(list(set(words)))
-                out.append((doc, *digests([by[k] if k in by else have[w] for k, w in enumerate(words)], decoder)))
-            columns = list(zip(*out)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [batch.schema.field(0).type, pa.int64(), pa.string(), pa.string()])], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    late = rest.join(placed, "key").select("doc_id", "text", "placed").mapInArrow(finish, schema)
-    return resolved.filter(F.col("text").isNull()).drop("text").unionByName(late)
+def flat(rows: Column, field: str) -> Column:
+    return F.flatten(F.transform(rows, lambda x: x[field])).alias(field)

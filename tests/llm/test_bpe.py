@@ -5,7 +5,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from docloom.llm.bpe import bpe_digests
+from docloom.llm.bpe import bpe_digests, decoded
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -17,8 +17,8 @@ def rows():
     return [*out, (500, None), (501, ""), (502, "same"), (502, "same"), (None, "x"), (503, "<|endoftext|>"), (504, "rareword " * 3), (505, "word " * 5000)]
 
 
-@pytest.mark.parametrize("head_bytes", [10**8, 600, 0])
-def test_equals_library(spark, head_bytes):
+@pytest.mark.parametrize("chunk_chars, buckets", [(10**7, 2048), (500, 7), (0, 1)])
+def test_equals_library(spark, chunk_chars, buckets):
     t = Tokenizer.from_file(PATH)
     data = rows()
     df = spark.createDataFrame([(i, x, 1) for i, x in data], "doc_id long, text string, n_tokens int")
@@ -26,6 +26,23 @@ def test_equals_library(spark, head_bytes):
     for i, x in data:
         ids = t.encode(x or "", add_special_tokens=False).ids
         want.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
-    got = [tuple(r) for r in bpe_digests(df, PATH, head_bytes).collect()]
+    got = [tuple(r) for r in bpe_digests(df, PATH, chunk_chars, buckets).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
-    assert bpe_digests(df.limit(0), PATH, head_bytes).count() == 0
+    assert bpe_digests(df.limit(0), PATH, chunk_chars, buckets).count() == 0
+
+
+def test_decoding_equals_library(spark):
+    t = Tokenizer.from_file(PATH)
+    texts = dict(enumerate([x or "" for _, x in rows()]))
+    ids = {k: t.encode(x, add_special_tokens=False).ids for k, x in texts.items()} | {900: None, 901: [], 902: [10**6]}
+    cut = {1000 + k: x[1:-1] for k, x in ids.items() if x}  # may begin or end within a character
+    df = spark.createDataFrame([(k, x) for k, x in (ids | cut).items()], "key long, ids array<int>")
+    got = {r.key: r.text for r in decoded(df, PATH).collect()}
+    assert got == {k: t.decode(x or [], skip_special_tokens=False) for k, x in (ids | cut).items()}
+
+
+def test_plan_holds_the_joins(spark):
+    """By position and by id, at any size; no word table is broadcast."""
+    df = spark.createDataFrame(rows(), "doc_id long, text string")
+    plan = bpe_digests(df, PATH)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter, (chunk") == 2 and "Join Inner, (id" in plan
