@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
+import functools
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.plans.tables import shared_dir
+
 #: A word: a run of anything but space and the ASCII controls tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 #: The characters between words, for translate().
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="docloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -47,6 +39,21 @@ def small(df: DataFrame, rows: int, known: int | None = None) -> DataFrame:
     return F.broadcast(df) if (df.count() if known is None else known) <= rows else df
 
 
+def shielded(*needed: str):
+    """For an operator that returns ``docs``'s columns: columns that it does not name are renamed meanwhile, so none can clash with its own."""
+
+    def wrap(change):
+        @functools.wraps(change)
+        def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            names = {c: c if c in needed else f"other {i}" for i, c in enumerate(docs.columns)}
+            out = change(docs.select(*(F.col(f"`{c}`").alias(x) for c, x in names.items())), *args, **kwargs)
+            return out.select(*(F.col(f"`{x}`").alias(c) for c, x in names.items()))
+
+        return run
+
+    return wrap
+
+
 def words(text: Column | str) -> Column:
     """The words of a text, null or empty texts have none."""
     return F.regexp_extract_all(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), F.lit(WORD), F.lit(0))

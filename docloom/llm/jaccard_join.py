@@ -1,7 +1,8 @@
 """N-gram Jaccard self-join of documents with PartEnum signatures, and its connected components.
 
-A document's set is that of its distinct n-word shingles, as 64-bit hashes. Sets are told apart by a fingerprint; equal sets
-are one node, so copies of a text never meet as pairs.
+A document's set is that of its distinct n-word shingles, as 64-bit hashes. Equal sets are one node, so copies of a text never
+meet as pairs. A node's number has 64 bits; a second hash of 64 bits finds the numbers that unequal sets share, which are then
+numbered anew from both, so sets are told apart by 128 bits.
 
 Signatures (PartEnum): sizes fall into bands. For two sets of a band, a Jaccard similarity of at least t % bounds their
 symmetric difference by k, the same for the band. The domain of shingles is cut into parts by hash and every set's
@@ -13,21 +14,28 @@ projections to certain unions of parts are hashed with the band's number.
    bounded sample of texts: it decides how few unlike sets share a signature, never which links are found.
 A set whose partner may lie in the next band also signs for that band. Sets that are similar enough thus share a signature.
 
-Links: the sets of a signature's group are compared with the group's first set, by their texts. As each set of a group is
-paired with the first, sets that are similar enough are connected over these candidate pairs. Candidate components whose
-sets are then still of several linked components are settled exactly: their sets, in blocks of bounded size, are compared
-block against block within a task, which gives only links that join two components. So no pairs within a group are emitted.
+Links, in three steps, none of which emits the pairs within a group:
+ 1. The sets of a signature's group are compared with the group's first set, by their texts. Tasks that sign link their own
+    repeats of a signature, so a signature comes to the shuffle at most once per task's flush, however many sets share it.
+ 2. Groups whose sets then lie in several linked components are open. Of open groups with the same sets one is kept. Their
+    sets are dealt into blocks of bounded size: a component that fills more than a block has blocks of its own, small ones share.
+ 3. Blocks of one group are compared with each other within a task, but for two blocks of one component; a task gives only
+    links that join two components. Only sets that share a signature are compared, and no closure of unproven pairs is made.
 Components are found by large-star and small-star steps over tables in the shared folder.
 
+Hot keys: hashes, counts and minima are aggregated in the map tasks first; joins on a node or signature that many rows share
+are left to the adaptive skew join, or broadcast where the other side is small by count.
+
 Defined results: texts that are null or without words have an empty set and no links; texts of fewer than n words are one
 shingle; words are case-folded for A-Z only; repeated rows are copies; a null doc_id takes part but is never a smallest id
 (a component of null ids alone has a null id); other columns are ignored by ``components`` and pass through
-``representatives``; ties between equal doc_ids in ``representatives`` go to one row.
+``representatives``; ties between equal doc_ids in ``representatives`` go to one row. A similarity below 72 % is an error.
 """
 
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -37,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, give_back, small, small_batches, trimmed
+from .common import cut, give_back, shielded, small, small_batches, trimmed
 
 #: Rows of two numbers that are broadcast at most.
 BROADCAST_ROWS = 1_000_000
@@ -45,8 +53,8 @@ BROADCAST_ROWS = 1_000_000
 MEMO_WORDS, BAND, SPARE = 300_000, 1.4, 0.4
 #: Texts of the sample of frequent shingles, sample texts that hold one at least, and how many are kept; the similarity below which it is made.
 SAMPLE_TEXTS, FREQUENT_IN, FREQUENT_MOST, FREQUENT_BELOW = 4000, 3, 1 << 18, 85
-#: Parts of the domain for small k; sets and bytes of text in a block, shingles in a slice of a comparison.
-PARTS, BLOCK_SETS, BLOCK_BYTES, SLICE = 8, 512, 4_000_000, 8192
+#: Parts of the domain for small k; sets and bytes of text in a block, shingles in a slice of a comparison; signatures that a task holds.
+PARTS, BLOCK_SETS, BLOCK_BYTES, SLICE, HELD_SIGNATURES = 8, 512, 4_000_000, 8192, 1 << 20
 _LOWER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -80,8 +88,27 @@ def shingles(text: str | None, n: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(x)
 
 
-def node_of(sets: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(sets.tobytes(), digest_size=8).digest(), "little", signed=True)
+@dataclass(frozen=True)
+class Sets:
+    """How texts become sets and nodes: words in a shingle, bits of a node's first number, numbers that unequal sets share."""
+
+    n: int
+    bits: int = 64
+    shared: frozenset = frozenset()
+
+    def numbers(self, sets: np.ndarray) -> tuple[int, int]:
+        digest = hashlib.blake2b(sets.tobytes(), digest_size=16).digest()
+        return int.from_bytes(digest[:8], "little", signed=True) >> (64 - self.bits), int.from_bytes(digest[8:], "little", signed=True)
+
+    def node(self, sets: np.ndarray) -> int | None:
+        """The node's number, None of an empty set."""
+        if not len(sets):
+            return None
+        first, second = self.numbers(sets)
+        return int(mixed(np.uint64([first % 2**64]) ^ mixed(np.uint64([second % 2**64])))[0].view(np.int64)) if first in self.shared else first
+
+    def __call__(self, text: str | None, hashes: WordHashes) -> np.ndarray:
+        return shingles(text, self.n, hashes)
 
 
 def bands(upto: int) -> list[int]:
@@ -95,7 +122,6 @@ def bands(upto: int) -> list[int]:
 
 def signatures(sets: np.ndarray, percent: int, frequent: np.ndarray | None = None) -> np.ndarray:
     """The set's signatures for its band and, where a partner may be there, for the next."""
-    assert percent >= 72, "a partner may then lie beyond the next band"
     size = len(sets)
     if not size:
         return np.empty(0, np.uint64)
@@ -140,26 +166,42 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both) and both > 0
 
 
-def nodes(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, n_shingles, node) of each row; an empty set has no node."""
-    kind = dict(docs.dtypes)["doc_id"]
+def nodes(docs: DataFrame, of: Sets) -> DataFrame:
+    """(doc_id, n_shingles, node, other) of each row; an empty set has no node. ``other`` is a second hash of the set."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingles(t.as_py(), n, hashes) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([node_of(x) if len(x) else None for x in sets], pa.int64())], ["doc_id", "n_shingles", "node"])
+            sets = [of(t.as_py(), hashes) for t in batch.column(1)]
+            other = [of.numbers(x)[1] if len(x) else None for x in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array(list(map(of.node, sets)), pa.int64()), pa.array(other, pa.int64())], ["doc_id", "n_shingles", "node", "other"])
 
-    return docs.select("doc_id", "text").mapInArrow(trimmed(run), f"doc_id {kind}, n_shingles long, node long")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), f"doc_id {kind}, n_shingles long, node long, other long")
 
 
-def frequent_shingles(docs: DataFrame, n: int, texts: int) -> np.ndarray:
+def known_nodes(docs: DataFrame, n: int, percent: int, bits: int = 64) -> tuple[DataFrame, Sets]:
+    """The stored ``nodes`` of ``docs``, unequal sets with unequal nodes, and how texts become them."""
+    if not 72 <= percent <= 100:
+        raise ValueError("a similarity of 72 to 100 % is asked for: below, a partner may lie beyond the next band")
+    small_batches(docs.sparkSession)
+    of = Sets(n, bits)
+    known = cut(nodes(docs, of), "nodes")
+    clashes = known.filter("node is not null").groupBy("node").agg(F.min("other").alias("low"), F.max("other").alias("high")).filter("low <> high")
+    shared = frozenset(r["node"] for r in clashes.select("node").collect())  # of N sets N^2 / 2^65 are expected: some three of 10^10
+    if shared:
+        of = Sets(n, bits, shared)
+        known = cut(nodes(docs, of), "nodes")
+    return known.drop("other"), of
+
+
+def frequent_shingles(docs: DataFrame, of: Sets, texts: int) -> np.ndarray:
     """Sorted hashes of the shingles that most of a sample's texts share; ``texts`` is how many ``docs`` has."""
 
     def run(batches):
         hashes, held = WordHashes(), []
         for batch in batches:
-            held += [shingles(t.as_py(), n, hashes) for t in batch.column(0)]
+            held += [of(t.as_py(), hashes) for t in batch.column(0)]
         found, times = np.unique(np.concatenate(held) if held else np.empty(0, np.uint64), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], ["s", "n"])
 
@@ -169,38 +211,61 @@ def frequent_shingles(docs: DataFrame, n: int, texts: int) -> np.ndarray:
     return np.sort(rows.orderBy(F.desc("n"), "s").limit(FREQUENT_MOST).select("s").toArrow()["s"].to_numpy().view(np.uint64))
 
 
-def signed(docs: DataFrame, n: int, percent: int, texts: int) -> DataFrame:
-    """(sig, node): the signatures of each row's set."""
-    held = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, n, texts)) if percent < FREQUENT_BELOW else None  # FREQUENT_MOST numbers at most
+def signed(docs: DataFrame, of: Sets, percent: int, texts: int) -> DataFrame:
+    """(sig, node, first): the signatures of each row's set. Of a task's sets with one signature the first seen has a null ``first``, the others have it there."""
+    held = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, of, texts)) if percent < FREQUENT_BELOW else None  # FREQUENT_MOST numbers at most
 
     def run(batches):
         frequent = held.value if held else None
         hashes = WordHashes()
+        sigs, owners, lengths, done, total = [], [], [], set(), 0
+
+        def out():
+            sig, node = np.concatenate(sigs), np.repeat(np.array(owners, np.int64), lengths)
+            _, at, group = np.unique(sig, return_index=True, return_inverse=True)
+            first = node[at][group]
+            lone = np.zeros(len(sig), bool)
+            lone[at] = True
+            sig = sig.view(np.int64)
+            for k in range(0, len(sig), 1 << 16):
+                some = slice(k, k + (1 << 16))
+                good = lone[some] | (first[some] != node[some])
+                yield pa.RecordBatch.from_arrays([pa.array(sig[some]), pa.array(node[some]), pa.array(first[some], mask=lone[some])], ["sig", "node", "first"]).filter(pa.array(good))
+
         for batch in batches:
-            done: set[int] = set()
-            for k in range(0, batch.num_rows, 200):
-                sigs, owners, lengths = [], [], []
-                for text in batch.column(0).slice(k, 200):
-                    sets = shingles(text.as_py(), n, hashes)
-                    if len(sets) and (node := node_of(sets)) not in done:
-                        done.add(node)
-                        sigs.append(signatures(sets, percent, frequent))
-                        owners.append(node)
-                        lengths.append(len(sigs[-1]))
-                if sigs:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.repeat(np.array(owners, np.int64), lengths))], ["sig", "node"])
-
-    return docs.select("text").mapInArrow(trimmed(run), "sig long, node long")
-
-
-def groups(docs: DataFrame, n: int, percent: int, texts: int) -> DataFrame:
-    """(sig, first, node): the sets that share a signature with a smaller one, the smallest of the group as first. One shuffle; running windows."""
-    by = Window.partitionBy("sig").orderBy("node")
-    rows = signed(docs, n, percent, texts).select("sig", "node", F.first("node").over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("first"), F.lag("node").over(by).alias("before"))
-    return rows.filter((F.col("node") != F.col("first")) & ~F.col("before").eqNullSafe(F.col("node"))).select("sig", "first", "node")
-
-
-def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+            for text in batch.column(0):
+                sets = of(text.as_py(), hashes)
+                node = of.node(sets)
+                if node is None or node in done:
+                    continue
+                done.add(node)
+                found = signatures(sets, percent, frequent)
+                sigs.append(found)
+                owners.append(node)
+                lengths.append(len(found))
+                total += len(found)
+                if total > HELD_SIGNATURES:
+                    yield from out()
+                    sigs, owners, lengths, done, total = [], [], [], set(), 0
+        if total:
+            yield from out()
+
+    return docs.select("text").mapInArrow(trimmed(run), "sig long, node long, first long")
+
+
+def groups(docs: DataFrame, of: Sets, percent: int, texts: int) -> DataFrame:
+    """(sig, first, node): sets that share a signature, as trees of depth two. One shuffle; running windows.
+
+    Pairs that a task has found pass the shuffle by the hash of their node, so that no task gets a signature's pairs.
+    """
+    rows = signed(docs, of, percent, texts).withColumn("spot", F.when(F.col("first").isNull(), F.col("sig")).otherwise(F.xxhash64("node", "sig")))
+    by = Window.partitionBy("spot", "sig").orderBy(F.col("first").isNotNull(), "node")
+    least = F.first(F.when(F.col("first").isNull(), F.col("node"))).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.select("sig", "node", F.coalesce("first", least).alias("first"))
+    return rows.filter(F.col("node") != F.col("first")).distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame, of: Sets, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that are similar; ``texts`` is (node, text)."""
 
     def run(batches):
@@ -209,8 +274,8 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFr
             good = []
             for node, a, b in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
                 if node != last[0]:
-                    last = (node, shingles(a.as_py(), n, hashes))
-                good.append(similar(last[1], shingles(b.as_py(), n, hashes), percent))
+                    last = (node, of(a.as_py(), hashes))
+                good.append(similar(last[1], of(b.as_py(), hashes), percent))
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     of_a, of_b = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
@@ -238,50 +303,64 @@ def connected(edges: DataFrame) -> DataFrame:
     return out.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def linked(docs: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
+def linked(docs: DataFrame, known: DataFrame, of: Sets, percent: int) -> DataFrame:
     """(node, component) of the nodes that have links. ``known`` is ``nodes`` of ``docs``."""
     give_back()
-    found = cut(groups(docs, n, percent, known.count()), "groups")
-    pairs = found.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = cut(pairs, "pairs")
+    found = cut(groups(docs, of, percent, known.count()), "groups")
+    pairs = cut(found.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     owners = cut(known.filter("node is not null").join(involved, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"))).alias("x")).select("node", F.col("x.doc").alias("doc_id")), "owners")
-    texts = cut(texts_of(docs, owners, n), "texts")
-    links = cut(verified(pairs, texts, n, percent), "links")
-    open_groups = unsettled(connected(pairs), connected(links))
-    more = cut(settled(open_groups, texts, n, percent), "links")
+    texts = cut(texts_of(docs, owners, of), "texts")
+    links = cut(verified(pairs, texts, of, percent), "links")
+    members = open_groups(found, connected(links), texts)
+    more = cut(settled(members, texts, of, percent), "links")
     return connected(links.unionByName(more))
 
 
-def unsettled(candidates: DataFrame, parts: DataFrame) -> DataFrame:
-    """(grp, node, component): the sets of candidate components of more than two sets and several linked components."""
-    rows = candidates.withColumnRenamed("component", "grp").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = rows.groupBy("grp").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("sets")).filter("low <> high and sets > 2").select("grp")
-    return cut(rows.join(several, "grp").select("grp", "node", "component"), "open")
-
-
-def settled(rows: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b): links that join the components of each group, from comparing all its sets block by block.
+def open_groups(found: DataFrame, parts: DataFrame, texts: DataFrame) -> DataFrame:
+    """(sig, node, component, owner, part): the sets of groups of more than two sets and several linked components, dealt into blocks.
 
-    Blocks follow the components, so that most block pairs of a group with a large component are of that one alone and are left out.
+    ``owner`` is the component of a block that holds one alone, else null; ``part`` numbers the blocks of an owner, or those without.
     """
-    by = Window.partitionBy("grp").orderBy("component", "node")
-    running = by.rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.join(texts.select("node", F.octet_length("text").alias("bytes")), "node").select("grp", "node", "component", F.floor(F.greatest(F.sum("bytes").over(running) / BLOCK_BYTES, F.row_number().over(by) / BLOCK_SETS)).alias("block"))
-    blocks = placed.join(texts, "node").groupBy("grp", "block").agg(F.collect_list(F.struct("node", "component", "text")).alias("m"), F.min("component").alias("low"), F.max("component").alias("high"))
-    blocks = cut(blocks, "blocks")
-    other = blocks.select("grp", F.col("block").alias("block_b"), F.col("m").alias("m_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-    work = blocks.join(other, "grp").filter("block <= block_b and (low <> high or low_b <> high_b or low <> low_b)").select("m", "m_b")
+    members = found.select("sig", "node").unionByName(found.select("sig", F.col("first").alias("node"))).distinct()
+    about = texts.select("node", F.octet_length("text").cast("long").alias("bytes")).join(parts, "node", "left").select("node", "bytes", F.coalesce("component", "node").alias("component"))
+    members = cut(members.join(about, "node"), "members")
+    each = members.groupBy("sig", "component").agg(F.count("*").alias("sets"), F.sum("bytes").alias("bytes"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("y"))
+    blocks = lambda sets, size: F.ceil(F.greatest(sets / BLOCK_SETS, size / BLOCK_BYTES)).cast("long")
+    each = each.withColumn("blocks", blocks(F.col("sets"), F.col("bytes")))
+    of_small = F.when(F.col("blocks") <= 1, F.lit(1)).otherwise(0)
+    several = each.groupBy("sig").agg(F.count("*").alias("components"), F.sum("sets").alias("total"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"), F.sum(of_small * F.col("sets")).alias("small_sets"), F.sum(of_small * F.col("bytes")).alias("small_bytes"))
+    several = several.filter("components > 1 and total > 2").dropDuplicates(["x", "y", "total"]).select("sig", F.greatest(F.lit(1), blocks(F.col("small_sets"), F.col("small_bytes"))).alias("shared_blocks"))
+    asked = each.select("sig", "component", "blocks").join(several, "sig")
+    rows = members.join(asked, ["sig", "component"])
+    alone = F.col("blocks") > 1
+    part = F.when(alone, F.pmod(F.xxhash64("node"), F.col("blocks"))).otherwise(F.pmod(F.xxhash64("component"), F.col("shared_blocks")))
+    return rows.select("sig", "node", "component", F.when(alone, F.col("component")).alias("owner"), part.alias("part"))
+
+
+def settled(members: DataFrame, texts: DataFrame, of: Sets, percent: int) -> DataFrame:
+    """(a, b): links that join components, from comparing the sets of each group's blocks. ``members`` is ``open_groups``."""
+    name = F.concat_ws("/", F.col("sig").cast("string"), F.coalesce(F.col("owner").cast("string"), F.lit("")), F.col("part").cast("string"))
+    blocks = members.join(texts, "node").groupBy("sig", "owner", "part").agg(F.collect_list(F.struct("node", "component", "text")).alias("m"), F.min("component").alias("low"), F.max("component").alias("high"))
+    blocks = cut(blocks.withColumn("block", name), "blocks")
+    names = blocks.select("sig", "block", "low", "high")
+    other = names.select("sig", *(F.col(x).alias(f"{x}_b") for x in ("block", "low", "high")))
+    work = names.join(other, "sig").filter("block <= block_b and (low <> high or low_b <> high_b or low <> low_b)")
+    work = work.select("block", F.when(F.col("block") != F.col("block_b"), F.col("block_b")).alias("block_b"))
+    work = work.join(blocks.select("block", "m"), "block").join(blocks.select(F.col("block").alias("block_b"), F.col("m").alias("m_b")), "block_b", "left").select("m", "m_b")
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
             for k in range(batch.num_rows):
                 left, right = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                sets = [[shingles(x["text"], n, hashes) for x in side] for side in (left, right)]
+                sets = [of(x["text"], hashes) for x in left]
+                both = overlaps(sets, sets if right is None else [of(x["text"], hashes) for x in right], percent)
+                if right is None:
+                    right, both = left, np.triu(both, 1)
                 parent: dict[int, int] = {}
                 out = []
-                for i, j in np.argwhere(overlaps(sets[0], sets[1], percent)).tolist():
+                for i, j in np.argwhere(both).tolist():
                     a, b = root(parent, left[i]["component"]), root(parent, right[j]["component"])
                     if a != b:
                         parent[a] = b
@@ -324,13 +403,13 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> n
     return (100 * common >= percent * union) & (common > 0)
 
 
-def texts_of(docs: DataFrame, owners: DataFrame, n: int) -> DataFrame:
+def texts_of(docs: DataFrame, owners: DataFrame, of: Sets) -> DataFrame:
     """(node, text) for each of ``owners`` (node, doc_id); rows that only share the doc_id are told apart by their set."""
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            good = [node_of(x) == node if len(x := shingles(t.as_py(), n, hashes)) else False for node, t in zip(batch.column(0).to_pylist(), batch.column(1))]
+            good = [of.node(of(t.as_py(), hashes)) == node for node, t in zip(batch.column(0).to_pylist(), batch.column(1))]
             yield batch.filter(pa.array(good, pa.bool_()))
 
     asked = small(owners.withColumnRenamed("doc_id", "__of"), BROADCAST_ROWS)
@@ -338,35 +417,43 @@ def texts_of(docs: DataFrame, owners: DataFrame, n: int) -> DataFrame:
     return rows.mapInArrow(trimmed(run), "node long, text string").dropDuplicates(["node"])
 
 
-def components_of(docs: DataFrame, known: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, node, component, component_id) of each row of ``known``, the ``nodes`` of ``docs``."""
-    parts = linked(docs, known, n, percent)
-    rows = known.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = rows.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "component", "left").select("doc_id", "n_shingles", "node", "component", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+def components_of(docs: DataFrame, known: DataFrame, of: Sets, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, node, component, component_id) of each row of ``known``, the ``nodes`` of ``docs``.
 
-
-def components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
+    Smallest ids are found per node, then per component; rows whose set no other row has or links to need no join partner.
+    """
+    parts = linked(docs, known, of, percent)
+    per_node = known.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("rows"))
+    per_node = per_node.join(parts, "node", "left").filter("rows > 1 or component is not null").withColumn("component", F.coalesce("component", "node"))
+    per_node = cut(per_node, "copies")
+    least = per_node.groupBy("component").agg(F.min("low").alias("component_id"))
+    # A null id marks a component of null ids: the flag tells it from a row without partner.
+    named = per_node.select("node", "component").join(small(least, BROADCAST_ROWS), "component").withColumn("there", F.lit(True))
+    rows = known.join(small(named, BROADCAST_ROWS), "node", "left")
+    return rows.select("doc_id", "n_shingles", "node", F.coalesce("component", "node").alias("component"), F.when(F.col("there"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def components(docs: DataFrame, n: int = 3, percent: int = 90, bits: int = 64) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text); see the module's text."""
-    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    known = cut(nodes(docs, n), "nodes")
-    return components_of(docs, known, n, percent).select("doc_id", "n_shingles", "component_id")
+    known, of = known_nodes(docs, n, percent, bits)
+    return components_of(docs, known, of, percent).select("doc_id", "n_shingles", "component_id")
 
 
+@shielded("doc_id", "text")
 def representatives(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component: that with the smallest doc_id; rows with empty sets all stay."""
-    small_batches(docs.sparkSession)
-    known = cut(nodes(docs.select("doc_id", "text"), n), "nodes")
-    found = cut(components_of(docs.select("doc_id", "text"), known, n, percent).filter("node is not null"), "components")
+    texts = docs.select("doc_id", "text")
+    known, of = known_nodes(texts, n, percent)
+    found = cut(components_of(texts, known, of, percent).filter("node is not null"), "components")
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
     others = found.filter(~stays).select("doc_id", "node").distinct()
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingles(t.as_py(), n, hashes) for t in batch.column(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([node_of(x) if len(x) else None for x in sets], pa.int64())], names)
+            found = [of.node(of(t.as_py(), hashes)) for t in batch.column(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.int64())], names)
 
     names = [*docs.columns, "__node"]
     rows = docs.select("*", F.col("text").alias("__text"))

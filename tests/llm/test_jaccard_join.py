@@ -106,3 +106,37 @@ def test_overlaps():
     sets = [np.unique(r.integers(0, 60, r.integers(1, 50)).astype(np.uint64)) for _ in range(40)]
     got = jj.overlaps(sets[:25], sets[10:], 40)
     assert got.any() and got.tolist() == [[jj.similar(a, b, 40) for b in sets[10:]] for a in sets[:25]]
+
+
+@pytest.mark.parametrize("bits", [64, 5])
+def test_unequal_sets_with_equal_numbers(spark, bits):
+    """With five bits almost all first numbers are shared; the second ones tell the sets apart."""
+    rows = corpus(9, 90)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in jj.components(df, 3, 90, bits=bits).collect()), key=str) == sorted(brute(rows, 3, 90), key=str)
+
+
+def test_chain_of_neighbours(spark, monkeypatch):
+    """Each set is similar to the next only, so groups stay open after the first comparison; small blocks, a component larger than a block."""
+    monkeypatch.setattr(jj, "BLOCK_SETS", 3)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[3 * i : 3 * i + 100])) for i in range(60)] + [(200 + i, " ".join(words[:90] + [f"x{i}"] * 14)) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent in (80, 90, 94):
+        assert sorted((tuple(r) for r in jj.components(df, 3, percent).collect()), key=str) == sorted(brute(rows, 3, percent), key=str)
+
+
+def test_similarity_must_be_high(spark):
+    with pytest.raises(ValueError):
+        jj.components(spark.createDataFrame([(1, "a")], "doc_id long, text string"), 3, 71)
+
+
+def test_representatives_of_null_ids_and_clashing_columns(spark):
+    long = "x y z " * 20000
+    rows = [(None, "a b c d e f", 1, "p"), (None, "a b c d e f", 2, "q"), (3, "a b c d e f", 3, "r"), (None, "g h i j k l", 4, "s"), (None, "g h i j k l", 5, "t"), (6, long, 6, "u"), (7, long, 7, "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __node int, component string")
+    out = jj.representatives(df).collect()
+    assert df.columns == jj.representatives(df).columns
+    assert sorted((r.doc_id, r.text[:1]) for r in out if r.doc_id is not None) == [(3, "a"), (6, "x")]
+    assert [r.text[:1] for r in out if r.doc_id is None] == ["g"] and {r["__node"] for r in out} <= set(range(1, 8))
+
