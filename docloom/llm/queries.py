@@ -23,7 +23,7 @@ from .warc import round_trip
 
 
 def op1_top_k(spark, sf_dir):
-    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0).drop("scored")
 
 
 def op2_quality(spark, sf_dir):
