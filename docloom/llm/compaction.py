@@ -2,29 +2,39 @@
 
 ``append`` writes an arrival as small shards and commits a manifest that adds them. ``compact`` looks at the shards below the
 target size: those of one tier (sizes within ``FAN`` times of each other) are merged, in runs of up to the target size, once
-a tier holds ``FAN`` of them. A merge is a task that streams its shards row group by row group into one new file, so nothing
-is shuffled and memory is that of a row group. New files appear under their final names when whole; a manifest is committed
-by claiming the next version (a file that only one writer can create), then renaming; readers take the latest whole one.
-Old shards stay until ``vacuum``, so a reader of an older version is not disturbed.
+a tier holds ``FAN`` of them. A merge is a task that streams its shards into one new file in row groups of ``GROUP_BYTES``, so
+nothing is shuffled and memory is that of a row group.
+
+New files appear under their final names when whole. A manifest is written whole beside the others and committed by one
+rename that fails if another writer took the version: a writer that dies before leaves nothing in the way, and of two writers
+one gets an error and may try again on the new version. Readers take the latest version; older ones stay readable until
+``vacuum``, which spares the last ``keep`` versions' shards and all files younger than ``age`` seconds, so it neither disturbs
+readers nor takes the files of an append that is not committed yet.
 
 Defined results: rows are kept as they are, nulls, repeats and all columns; an empty arrival commits a version without
 shards; a shard above the target is never rewritten; shards of equal size are merged in order of name; compaction without
-work commits nothing; arrivals of other columns than the first are an error.
+work commits nothing; arrivals of other columns than the first are an error; so are rows whose arrival is null or out of
+range, before anything is written.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import os
+import time
 import uuid
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: Bytes of a finished shard; shards of a tier that are merged at least, and how far sizes of a tier are apart; rows read at a time.
-TARGET, FAN, ROWS = 128 << 20, 4, 2000
+#: Bytes of a finished shard; shards of a tier that are merged at least, and how far sizes of a tier are apart; rows read at a time; bytes in memory of a row group.
+TARGET, FAN, ROWS, GROUP_BYTES = 128 << 20, 4, 2000, 64 << 20
+#: Versions whose shards a vacuum keeps, and the least age in seconds of what it deletes.
+KEEP, AGE = 10, 7 * 24 * 3600
 
 
 class ShardStore:
@@ -52,17 +62,28 @@ class ShardStore:
     def commit(self, base: dict, shards: list[dict], schema: str | None) -> int:
         """Commit the version after ``base``; fails if another writer took it."""
         version = base["version"] + 1
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
-        final = hadoop(f"{self.uri}/manifest/v{version:010d}.json")
-        files = final.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.createNewFile(hadoop(f"{self.uri}/manifest/v{version:010d}.claim")):
-            raise RuntimeError(f"version {version} was committed by another writer")
-        part = f"{self.path}/manifest/{uuid.uuid4().hex}.part"
-        with self.fs.open_output_stream(part) as f:
+        name, part = f"manifest/v{version:010d}.json", f"manifest/{uuid.uuid4().hex}.part"
+        with self.fs.open_output_stream(f"{self.path}/{part}") as f:
             f.write(json.dumps({"version": version, "schema": schema, "shards": shards}).encode())
-        self.fs.move(part, f"{self.path}/manifest/v{version:010d}.json")
+        try:
+            self._rename_new(part, name)
+        except Exception as e:
+            self.fs.delete_file(f"{self.path}/{part}")
+            if version in self.versions():
+                raise RuntimeError(f"version {version} was committed by another writer") from e
+            raise
         return version
 
+    def _rename_new(self, old: str, new: str) -> None:
+        """One step that gives the file its name, or fails if there is one of that name."""
+        if isinstance(self.fs, pafs.LocalFileSystem):
+            os.link(f"{self.path}/{old}", f"{self.path}/{new}")
+            os.unlink(f"{self.path}/{old}")
+            return
+        hadoop, gateway = self.spark._jvm.org.apache.hadoop.fs, self.spark.sparkContext._gateway
+        old, new = (hadoop.Path(f"{self.uri}/{x}") for x in (old, new))
+        hadoop.FileContext.getFileContext(old.toUri(), self.spark._jsc.hadoopConfiguration()).rename(old, new, gateway.new_array(hadoop.Options.Rename, 0))
+
     # Shards
     def append(self, rows: DataFrame) -> int:
         """Add the rows as new shards, one for each task that has some."""
@@ -104,7 +125,7 @@ class ShardStore:
         runs = self.plan(base["shards"])
         if not runs:
             return None
-        uri, folder = self.uri, f"data/{uuid.uuid4().hex}"
+        uri, folder, group_bytes = self.uri, f"data/{uuid.uuid4().hex}", GROUP_BYTES
         self.fs.create_dir(f"{self.path}/{folder}", recursive=True)
 
         def merge(batches):
@@ -112,14 +133,19 @@ class ShardStore:
             for batch in batches:
                 for number, names in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     name = f"{folder}/merged-{number:06d}.parquet"
-                    part, rows, writer = f"{path}/{name}.{uuid.uuid4().hex}.part", 0, None
+                    part = f"{path}/{name}.{uuid.uuid4().hex}.part"
                     with fs.open_output_stream(part) as out:
+                        writer, held, size = None, [], 0
                         for x in names:
                             with fs.open_input_file(f"{path}/{x}") as f:
                                 for piece in pq.ParquetFile(f).iter_batches(ROWS):
-                                    writer = writer or pq.ParquetWriter(out, piece.schema, compression="snappy")
-                                    writer.write_batch(piece)
-                                    rows += piece.num_rows
+                                    writer = writer or pq.ParquetWriter(out, piece.schema, compression="snappy", use_deprecated_int96_timestamps=True)
+                                    held, size = [*held, piece], size + piece.nbytes
+                                    if size >= group_bytes:
+                                        writer.write_table(pa.Table.from_batches(held), row_group_size=sum(map(len, held)))
+                                        held, size = [], 0
+                        if held:
+                            writer.write_table(pa.Table.from_batches(held), row_group_size=sum(map(len, held)))
                         if writer:
                             writer.close()
                     fs.move(part, f"{path}/{name}")
@@ -143,22 +169,29 @@ class ShardStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*(f"{self.uri}/{x['name']}" for x in found["shards"]))
 
-    def vacuum(self) -> int:
-        """Delete shards that the latest manifest does not name; returns how many."""
-        kept, n = {x["name"] for x in self.manifest()["shards"]}, 0
+    def vacuum(self, keep: int = KEEP, age: float = AGE) -> int:
+        """Delete files older than ``age`` seconds that none of the last ``keep`` versions names, and the manifests before those; returns how many shards."""
+        versions, before, n = self.versions(), time.time() - age, 0
+        kept = {x["name"] for v in versions[-max(1, keep) :] for x in self.manifest(v)["shards"]}
+        for v in versions[: -max(1, keep)]:
+            name = f"{self.path}/manifest/v{v:010d}.json"
+            if self.fs.get_file_info(name).mtime.timestamp() <= before:
+                self.fs.delete_file(name)
         for x in self.fs.get_file_info(pafs.FileSelector(f"{self.path}/data", recursive=True)):
             name = x.path.removeprefix(f"{self.path}/")
-            if x.type == pafs.FileType.File and name not in kept:
+            if x.type == pafs.FileType.File and name not in kept and x.mtime.timestamp() <= before:
                 self.fs.delete_file(x.path)
                 n += name.endswith(".parquet")
         return n
 
 
 def compacted(rows: DataFrame, uri: str, arrival, arrivals: int, target: int = TARGET, fan: int = FAN) -> ShardStore:
-    """Append ``rows`` in ``arrivals`` parts by the number that column ``arrival`` holds, compacting and vacuuming after each."""
+    """Append ``rows`` in ``arrivals`` parts by the number that column ``arrival`` holds, compacting after each. What merges replace stays for a ``vacuum``."""
     store = ShardStore(rows.sparkSession, uri, target, fan)
+    if not rows.filter(~F.coalesce(arrival.between(0, arrivals - 1), F.lit(False))).isEmpty():
+        raise ValueError(f"rows whose arrival is not one of 0 to {arrivals - 1}")
     for k in range(arrivals):
         store.append(rows.filter(arrival == k))
         while store.compact():
-            store.vacuum()
+            pass
     return store
