@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .segments import interleaved, map_matches, map_outside, matches, outside
+from .segments import interleaved, map_matches, matches, outside
 
 # Patterns, commands and the shortest subscript.
-KEPT = r"(?dU)(\\[A-Za-z]+)(\s)(?:\s|\\(?=\n|\z))*(?=\p{L})|(\\[A-Za-z]+|\\.|[^\\\s])|\s+|\\"
+KEPT = r"(?dU)(\\[A-Za-z]++)(\s)(?:\s|\\(?=\n|\z))*+(?=\p{L})|(\\[A-Za-z]+|\\.|[^\\\s])|\s+|\\"
 FONT_COMMANDS = ("\\mathsf", "\\mathrm")
 THIN_SPACE = r"(?U)(?<=\d)\\,(?=\d)"
 DISPLAY = r"(?sd)\$\$(?:(?!\n[ \t]*\n).)+?\$\$"
@@ -30,23 +32,50 @@ def latex_despace(latex: Column) -> Column:
     return F.regexp_replace(kept, r"(?U)(?<=[A-Za-z])\s", " ")
 
 
+_BRACES = re.compile("([{}])")
+_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+
+
+def without_command(text: str, command: str) -> str:
+    """``text`` with the groups of ``command`` replaced by their contents, read once from left to right.
+
+    The stack holds an entry for each open brace: None, or where in the output a group of the command began and what was left to
+    read. A blank keeps a command that then runs into the group's first letter apart. A group that is never closed stays, with
+    all that follows it, as it was.
+    """
+    pieces = _BRACES.split(text)
+    out: list[str] = []
+    stack: list[tuple[int, int] | None] = []
+    begun = [0]  # where the open groups of the command began
+    for at, piece in enumerate(pieces):
+        if piece == "{" and len(out) - len(command) >= begun[-1] and "".join(out[-len(command) :]) == command:
+            del out[-len(command) :]
+            stack.append((len(out), at))
+            begun.append(len(out))
+            k = len(out)
+            while k and out[k - 1] in _LETTERS:
+                k -= 1
+            if 0 < k < len(out) and out[k - 1] == "\\" and pieces[at + 1][:1].isalpha():
+                out.append(" ")
+        elif piece == "{":
+            stack.append(None)
+            out.append(piece)
+        elif piece == "}" and stack and stack.pop() is not None:
+            begun.pop()
+        else:
+            out.extend(piece)
+    first = next((x for x in stack if x is not None), None)
+    if first is None:
+        return "".join(out)
+    return "".join(out[: first[0]]) + command + "".join(pieces[first[1] :])
+
+
 def unwrap(text: str) -> str:
-    """``text`` without font commands, their groups' contents in place; one that is never closed ends the work on its command."""
+    """``text`` without font commands, their groups' contents in place."""
     for command in FONT_COMMANDS:
-        opened = command + "{"
-        while opened in text:
-            before, _, rest = text.partition(opened)
-            open_groups, end = 1, -1
-            for at, c in enumerate(rest):
-                open_groups += {"{": 1, "}": -1}.get(c, 0)
-                if not open_groups:
-                    end = at
-                    break
-            if end < 0:
-                break
-            tail = before[before.rfind("\\") + 1 :] if "\\" in before else ""
-            runs_on = rest[:1].isalpha() and end > 0 and tail.isascii() and tail.isalpha()
-            text = before + " " * runs_on + rest[:end] + rest[end + 1 :]
+        before = None
+        while text != before and command + "{" in text:  # contents may form the command anew
+            before, text = text, without_command(text, command)
     return text
 
 
@@ -66,8 +95,6 @@ def latex_thinspace(latex: Column) -> Column:
 
 @F.pandas_udf(T.StringType())
 def _unwrap_spans(texts: pd.Series) -> pd.Series:
-    import re
-
     display = re.compile(r"(\$\$(?:(?!\n[ \t]*\n).)+?\$\$)", re.S)
     inline = re.compile(r"((?<!\$)\$(?!\$)[^$\n]+?\$(?!\$))")
 
@@ -145,7 +172,3 @@ def standardize_subscripts(docs: DataFrame, column: str = "md") -> DataFrame:
     docs = docs.withColumn(column, F.when(F.size("__sub") > 0, sub_to_latex(F.col(column), F.col("__sub"))).otherwise(F.col(column)))
     docs = docs.withColumn(column, F.when((F.size("__flat") > 0) & (F.length("__pattern") > 0), flat_sub(F.col(column), F.col("__flat"), F.col("__pattern"))).otherwise(F.col(column)))
     return docs.drop("__vars", "__sub", "__flat", "__pattern")
-
-
-def outside_math(md: Column, change) -> Column:
-    return map_outside(md, SPAN, change)

@@ -13,7 +13,7 @@ from .segments import map_outside
 
 # Literal replacements, in the order in which they apply.
 SYMBOL_ESCAPES = {"/C0069": "©", "/C0109": "µ", "/C0043": "=", "/C0042": "-", "/C0324": "/", "/C0087": "Ω"}
-PRIVATE_GLYPHS = {"": "≤", "": "≥", "": "±", "": "°", "": "×", "": "✓", "": "•", "": "•", "": "•"}
+PRIVATE_GLYPHS = {"\uf0a3": "≤", "\uf0b3": "≥", "\uf0b1": "±", "\uf0b0": "°", "\uf0d6": "×", "\uf0fc": "✓", "\uf06c": "•", "\uf0a8": "•", "\uf0b7": "•"}
 MOJIBAKE = "Â"
 PHRASES = {
     "Patent -Marking": "Patent-Marking",
@@ -36,9 +36,10 @@ FENCE = r"(?s)(```.*?```|~~~.*?~~~)"
 LIST_BULLET = r"(?md)^([ \t]*[-*+][ \t]+)•[ \t]+"
 BULLET = r"(?md)^([ \t]*)•[ \t]+"
 PAGE_HEADER = r"(?mdi)^[ \t]{0,3}#{1,6}[ \t]+(?:AND\d{5,}/D|CONFIDENTIAL AND PROPRIETARY[^\n]*)[ \t]*\n?"
-TRAILING_PAGE = r"(?U)\n{2,}\d{1,4}[ \t]*\z"
-#: Six lines and more of nothing but numbers. A line may start after any line separator and ends in a line feed or the text.
-NUMBER_RUN = "(?:(?<![^\n\r\x0b\x0c\x1c-\x1e\x85  ])[ \t]*[0-9][0-9|.,:; \t-]*[ \t]*(?:\n|\\z)){6,}"
+TRAILING_PAGE = r"(?U)(?<!\n)\n{2,}+\d{1,4}[ \t]*+\z"
+#: Six lines and more of nothing but numbers. A line may start after any line separator and ends in a line feed or the text. All
+#: repeats are possessive: nothing that follows them could use what they give back, and the engine then loops instead of recursing.
+NUMBER_RUN = r"(?:(?<![^\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029])[ \t]*+[0-9][0-9|.,:; \t-]*+(?:\n|\z)){6,}+"
 EQUATION_LABEL = r"(?id)(?<!\[)\b(?:Equation|Eqn|Eq\.)\s*\(?\d+\)?[.:]?[ \t]*\r?\n+(?:[ \t]*[^\n\[\]]{0,80}\r?\n+)?\z"
 EQUATION_LOOKBACK = 200
 GUID_LINE = r"(?md)^[ \t]*GUID-[0-9A-Fa-f-]+(?:-low)?\.(?:gif|png|jpe?g|svg)[ \t]*$\n?"
@@ -48,7 +49,7 @@ ALT_LIMIT, ALT_DEFAULT = 300, "Image"
 
 def strip(text: Column) -> Column:
     """Without Unicode white space at either end."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+    return F.regexp_replace(text, r"(?U)^\s++|(?<!\s)\s++\z", "")
 
 
 def replaced(text: Column, table: dict[str, str]) -> Column:

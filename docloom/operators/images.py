@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from docloom.functions.segments import interleaved, outside
 from docloom.functions.text import ALT_DEFAULT, alt_sanitize, strip
 
+from .vision import image_dims as vision_dims
+
 # Patterns, name lengths, furniture limits, statuses.
 EMBEDDED = r"!\[([^\]]*)\]\(data:image/(png|jpeg|jpg);base64,([A-Za-z0-9+/=]+)\)"
 REFERENCE = r"!\[([^\]]*)\]\(([^)]+)\)"
@@ -40,8 +42,9 @@ def embedded_images(docs: DataFrame) -> DataFrame:
     number = F.when(good, F.sum(good.cast("int")).over(Window.partitionBy("doc_id").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.withColumn("occurrence", number.cast("int"))
     ext = F.when(F.col("fmt") == "jpeg", "jpg").otherwise(F.col("fmt"))
-    name = F.concat(F.lit("image_"), F.when(F.col("occurrence") < 1000, F.lpad(F.col("occurrence").cast("string"), 3, "0")).otherwise(F.col("occurrence").cast("string")), F.lit("_"), F.substring(F.md5("content"), 1, 8), F.lit("."), ext)
-    return rows.withColumn("original_file", F.when(good, name)).withColumn("sha256", F.sha2("content", 256))
+    sha256, md5 = digests(F.col("content"))
+    name = F.concat(F.lit("image_"), F.when(F.col("occurrence") < 1000, F.lpad(F.col("occurrence").cast("string"), 3, "0")).otherwise(F.col("occurrence").cast("string")), F.lit("_"), F.substring(md5, 1, 8), F.lit("."), ext)
+    return rows.withColumn("original_file", F.when(good, name)).withColumn("sha256", sha256)
 
 
 def split_images(docs: DataFrame, images: DataFrame) -> DataFrame:
@@ -70,6 +73,17 @@ def in_scope(target: Column, stem: Column) -> Column:
     return F.when(F.startswith(strip(target), prefix) & (name != "") & ~name.contains("/"), name)
 
 
+def below_prefix(target: Column, stem: Column) -> Column:
+    """What follows ``<stem>.images/``, folders and the empty name included; null for other targets."""
+    prefix = F.concat(stem, F.lit(".images/"))
+    return F.when(F.startswith(strip(target), prefix), F.substring(strip(target), F.length(prefix) + 1, F.lit(2**30)))
+
+
+def digests(content: Column) -> tuple[Column, Column]:
+    """(sha256, md5) of a content."""
+    return F.sha2(content, 256), F.md5(content)
+
+
 def join_metadata(images: DataFrame, metadata: DataFrame) -> DataFrame:
     """Images with the layout's metadata (doc_id, pos from 0, page, bbox, coord_system, meta_alt): the nth with the nth."""
     return images.join(metadata.withColumn("occurrence", (F.col("pos") + 1).cast("int")).drop("pos"), ["doc_id", "occurrence"], "left")
@@ -109,6 +123,11 @@ def dedupe_stats(deduped: DataFrame) -> DataFrame:
     return stats.join(first, "doc_id", "left").join(removed, "doc_id", "left").na.fill(0, ["renamed_files", "removed_files"])
 
 
+def status_counts(deduped: DataFrame) -> DataFrame:
+    """(doc_id, status, n)."""
+    return deduped.groupBy("doc_id", "status").agg(F.count("*").alias("n"))
+
+
 def rewrite_references(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """``docs`` (doc_id, md) with the reference at each pos replaced by ``new`` of ``targets`` (doc_id, pos, new); others stay."""
     found = targets.filter("new is not null").groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("pos", "new"))).alias("__new"))
@@ -133,13 +152,25 @@ def png_dims(content: Column) -> tuple[Column, Column]:
     return number(17), number(21)
 
 
+def image_dims(content: Column) -> tuple[Column, Column]:
+    """(width, height) of a PNG, in the JVM, or of a GIF or JPEG, whose head is read in Python; else nulls."""
+    width, height = png_dims(content)
+    other = vision_dims(F.when(width.isNull(), content))
+    return F.coalesce(width, other["width"]), F.coalesce(height, other["height"])
+
+
 def is_furniture(refs: Column, width: Column, height: Column) -> Column:
     return F.coalesce((refs >= FURNITURE_MIN_REFS) & (height <= FURNITURE_MAX_HEIGHT) & (width >= FURNITURE_MIN_WIDTH) & (width / height >= FURNITURE_MIN_ASPECT), F.lit(False))
 
 
+def reference_counts(refs: DataFrame) -> DataFrame:
+    """(doc_id, rel_name, refs): how often a document refers to each of its files."""
+    return refs.filter("rel_name is not null").groupBy("doc_id", "rel_name").agg(F.count("*").alias("refs"))
+
+
 def page_furniture(refs: DataFrame, dims: DataFrame) -> DataFrame:
     """(doc_id, rel_name, refs): thin wide images that a document shows twice or more. ``dims`` is (doc_id, name, width, height)."""
-    counted = refs.filter("rel_name is not null").groupBy("doc_id", "rel_name").agg(F.count("*").alias("refs"))
+    counted = reference_counts(refs)
     return counted.join(dims.withColumnRenamed("name", "rel_name"), ["doc_id", "rel_name"]).filter(is_furniture(F.col("refs"), F.col("width"), F.col("height"))).select("doc_id", "rel_name", "refs")
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docloom.functions.text import alt_sanitize
+from docloom.functions.text import alt_sanitize, equation_number, equation_tag, strip_eqno
+
+from .vision import formula_parts
 
 # The spellings, in order of preference.
 SPELLINGS = {
@@ -52,3 +56,21 @@ def layout_images(items: Column) -> Column:
     """The metadata of the pictures among ``items``, an array of JSON texts; the first provenance of each counts."""
     one = lambda x: F.struct(item_alt(x).alias("alt"), page_number(x, "$.prov[0]").alias("page"), bbox_normalize(x, "$.prov[0].bbox").alias("bbox"), first_of(x, "coord_system", "$.prov[0].bbox").alias("coord_system"))
     return F.transform(F.filter(items, is_picture), one)
+
+
+def is_formula(kind: Column, label: Column) -> Column:
+    """Whether a layout item is text that the extractor calls a formula."""
+    return F.coalesce((F.lower(kind) == "text") & (F.lower(label) == "formula"), F.lit(False))
+
+
+def with_formulas(items: DataFrame, formula: Callable[[Column], Column], number: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``items`` (kind, label, image, text, ...) with the text of formulas as LaTeX, tagged with the number that stands beside them.
+
+    ``formula`` and ``number`` (the recognised text of a number's image) are functions of an image column. An image that the
+    model gives nothing for keeps its text; other items stay as they are.
+    """
+    asked = is_formula(F.col("kind"), F.col("label"))
+    rows = items.withColumn("__parts", formula_parts(F.when(asked, F.col("image"))))
+    rows = rows.withColumns({"__latex": strip_eqno(formula(F.col("__parts.formula"))), "__number": equation_number(number(F.col("__parts.number"))) if number else F.lit(None).cast("string")})
+    new = F.when(asked & F.col("image").isNotNull(), equation_tag(F.col("__latex"), F.col("__number")))
+    return rows.withColumn("text", F.coalesce(new, F.col("text"))).drop("__parts", "__latex", "__number")

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,10 +26,11 @@ def quad_to_bbox(xs: Column, ys: Column) -> Column:
 def group_rows(regions: Column, distance: float = ROW_DISTANCE) -> Column:
     """Rows of regions (y, x, ...): a region belongs to the row whose first region is at most ``distance`` above; rows are sorted by x.
 
-    ``regions`` is an array of structs whose first fields are y and x.
+    ``regions`` is an array of structs with fields y and x; regions at one place keep their order.
     """
     kind = "array<struct<first:double,row:int>>"
-    ordered = F.array_sort(regions)
+    placed = F.array_sort(F.transform(regions, lambda r, i: F.struct(r["y"].alias("y"), r["x"].alias("x"), i.alias("i"))))
+    ordered = F.transform(placed, lambda p: F.get(regions, p["i"]))
     starts = F.aggregate(ordered, F.array().cast(kind), lambda a, r: F.concat(a, F.array(F.when(F.size(a) == 0, F.struct(r["y"].alias("first"), F.lit(0).alias("row"))).when(F.abs(r["y"] - F.element_at(a, -1)["first"]) <= distance, F.element_at(a, -1)).otherwise(F.struct(r["y"].alias("first"), (F.element_at(a, -1)["row"] + 1).alias("row"))))))
     numbered = F.zip_with(ordered, starts, lambda r, s: F.struct(s["row"].alias("row"), r.alias("r")))
     many = F.coalesce(F.array_max(F.transform(starts, lambda s: s["row"])), F.lit(-1))
@@ -67,34 +69,68 @@ def sign_hash(vector: Column, bits: int = 64) -> Column:
     return F.aggregate(steps, F.lit(0).cast("long"), lambda a, i: a.bitwiseOR(bit(i)))
 
 
-def first_match(hashes: Column, distance: int = HASH_DISTANCE) -> Column:
+def first_match(hashes: Column, distance: int = HASH_DISTANCE, able: Column | None = None) -> Column:
     """The canonical hash of each, in order: the first canonical one within ``distance``, else itself, which becomes canonical.
 
-    ``hashes`` is an array of bigint in reference order.
+    ``hashes`` is an array of bigint in reference order. One that is false in ``able`` (drawings that cannot be made) may share
+    another's but never becomes canonical: without a near one its result is null.
     """
+    able = F.transform(hashes, lambda _: F.lit(True)) if able is None else able
     start = F.struct(F.array().cast("array<bigint>").alias("canon"), F.array().cast("array<bigint>").alias("out"))
 
-    def step(a: Column, h: Column) -> Column:
-        near = F.get(F.filter(a["canon"], lambda c: hamming(c, h) <= distance), F.lit(0))
-        return F.struct(F.when(near.isNull(), F.concat(a["canon"], F.array(h))).otherwise(a["canon"]).alias("canon"), F.concat(a["out"], F.array(F.coalesce(near, h))).alias("out"))
+    def step(a: Column, x: Column) -> Column:
+        near = F.get(F.filter(a["canon"], lambda c: hamming(c, x["h"]) <= distance), F.lit(0))
+        new = near.isNull() & x["able"]
+        return F.struct(F.when(new, F.concat(a["canon"], F.array(x["h"]))).otherwise(a["canon"]).alias("canon"), F.concat(a["out"], F.array(F.coalesce(near, F.when(x["able"], x["h"])))).alias("out"))
 
-    return F.aggregate(hashes, start, step, lambda a: a["out"])
+    pairs = F.zip_with(hashes, able, lambda h, b: F.struct(h.alias("h"), F.coalesce(b, F.lit(False)).alias("able")))
+    return F.aggregate(pairs, start, step, lambda a: a["out"])
+
+
+#: Narrower bands than this would let most pairs meet in some band; hashes of a block that are compared at a time.
+LEAST_BAND, BLOCK = 6, 4096
 
 
 def hamming_pairs(rows: DataFrame, distance: int = HASH_DISTANCE, bits: int = 64) -> DataFrame:
-    """(doc_id, a, b, distance): pairs of a document's hashes (pos, hash) within ``distance``.
+    """(doc_id, a, b, distance): pairs of a document's hashes (pos, hash) within ``distance``, exact.
 
-    Exact without comparing all: of distance + 1 bands of the bits, one at least is equal, so pairs meet in an equi-join.
+    Of distance + 1 bands of the bits, one at least is equal, so pairs meet in an equi-join on bands. Where the distance leaves
+    bands of few bits, a document's hashes are dealt into blocks instead, and two blocks are compared within a task.
     """
+    if bits // (distance + 1) < LEAST_BAND:
+        return block_pairs(rows, distance)
     parts = distance + 1
     cuts = [round(k * bits / parts) for k in range(parts + 1)]
-    band = F.array(*(F.struct(F.lit(k).alias("k"), F.shiftrightunsigned("hash", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1).cast("long")).alias("v")) for k, (lo, hi) in enumerate(zip(cuts, cuts[1:]))))
+    band = F.array(*(F.struct(F.lit(k).alias("k"), F.shiftrightunsigned("hash", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1).cast("long")).alias("v")) for k, (lo, hi) in enumerate(zip(cuts, cuts[1:]))))
     banded = rows.select("doc_id", "pos", "hash", F.explode(band).alias("band")).select("doc_id", "pos", "hash", "band.k", "band.v")
     other = banded.select("doc_id", F.col("pos").alias("b"), F.col("hash").alias("__h"), "k", "v")
     near = banded.join(other, ["doc_id", "k", "v"]).filter(F.col("pos") < F.col("b")).withColumn("distance", hamming(F.col("hash"), F.col("__h"))).filter(F.col("distance") <= distance)
     return near.select("doc_id", F.col("pos").alias("a"), "b", "distance").distinct()
 
 
+def block_pairs(rows: DataFrame, distance: int, block: int = BLOCK) -> DataFrame:
+    """``hamming_pairs`` by comparing blocks of at most some ``block`` hashes; only blocks' numbers are paired in a join."""
+    kinds = {n: rows.schema[n].dataType.simpleString() for n in ("doc_id", "pos")}
+    sizes = rows.groupBy("doc_id").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    dealt = rows.join(sizes, "doc_id").withColumn("k", F.pmod(F.xxhash64("pos"), F.col("blocks")))
+    blocks = dealt.groupBy("doc_id", "k").agg(F.collect_list(F.struct("pos", "hash")).alias("m"))
+    work = blocks.join(blocks.select("doc_id", F.col("k").alias("k_b"), F.col("m").alias("m_b")), "doc_id").filter("k <= k_b").select("doc_id", "k", "k_b", "m", "m_b")
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                (at, x), (bt, y) = (([v["pos"] for v in m], np.array([v["hash"] for v in m], np.int64).view(np.uint64)) for m in (r["m"], r["m_b"]))
+                out = []
+                for i, a in enumerate(at):
+                    apart = np.bitwise_count(x[i] ^ y)
+                    out += [(min(a, bt[j]), max(a, bt[j]), int(apart[j])) for j in np.flatnonzero(apart <= distance).tolist() if a < bt[j] or (r["k"] != r["k_b"] and a != bt[j])]
+                columns = list(zip(*out)) or [(), (), ()]
+                pos = batch.schema.field("m").type.value_type.field("pos").type
+                yield pa.RecordBatch.from_arrays([pa.array([r["doc_id"]] * len(out), batch.schema.field("doc_id").type), pa.array(columns[0], pos), pa.array(columns[1], pos), pa.array(columns[2], pa.int32())], ["doc_id", "a", "b", "distance"])
+
+    return work.mapInArrow(run, f"doc_id {kinds['doc_id']}, a {kinds['pos']}, b {kinds['pos']}, distance int")
+
+
 def widest_gap(ink: Column) -> Column:
     """(start, length) of the widest run of columns without ink between inked columns, the first of equals; length 0 if there is none."""
     at = F.filter(F.transform(ink, lambda v, i: F.when(v, i)), lambda i: i.isNotNull())
@@ -103,11 +139,40 @@ def widest_gap(ink: Column) -> Column:
     return F.struct(F.coalesce(-best["less"], F.lit(0)).alias("start"), F.coalesce(best["length"], F.lit(0)).alias("length"))
 
 
+def filled(raw: np.ndarray, mode: np.ndarray, n: int) -> np.ndarray:
+    """The bytes (h, w, n) of filtered rows (h, w, n). Rows that look left and up are solved along diagonals, all rows at once."""
+    h, w = raw.shape[:2]
+    if not (mode > 2).any():
+        out = np.zeros((h, w, n), np.uint8)
+        for y in range(h):
+            row = np.cumsum(raw[y], axis=0, dtype=np.uint8) if mode[y] == 1 else raw[y]
+            out[y] = row + out[y - 1] if mode[y] == 2 and y else row
+        return out
+    ys = np.arange(h)
+    is_left, is_up, is_mean, is_paeth = ((mode == k)[:, None] for k in (1, 2, 3, 4))
+    out = np.zeros((h, w, n), np.int16)
+    before = np.zeros((h, n), np.int16)  # the diagonal of pixels left of those asked, and the one left of it
+    further = np.zeros((h, n), np.int16)
+    shift = lambda x: np.concatenate([np.zeros((1, n), np.int16), x[:-1]])
+    for t in range(w + h - 1):
+        xs = t - ys
+        good = (xs >= 0) & (xs < w)
+        a, b, c = before, shift(before), shift(further)
+        p, q, r = np.abs(b - c), np.abs(a - c), np.abs(a + b - 2 * c)
+        paeth = np.where((p <= q) & (p <= r), a, np.where(q <= r, b, c))
+        guess = np.where(is_left, a, 0) + np.where(is_up, b, 0) + np.where(is_mean, (a + b) // 2, 0) + np.where(is_paeth, paeth, 0)
+        now = np.zeros((h, n), np.int16)
+        now[good] = (raw[ys[good], xs[good]] + guess[good]) & 255
+        out[ys[good], xs[good]] = now[good]
+        before, further = now, before
+    return out.astype(np.uint8)
+
+
 def decode_png(data: bytes) -> np.ndarray | None:
-    """Pixels (h, w, 4) of an 8-bit PNG that is not interlaced, else None."""
+    """Pixels (h, w, 4) of a PNG that is not interlaced, else None. Of 16 bits the high eight count."""
     if not data or data[:8] != b"\x89PNG\r\n\x1a\n":
         return None
-    at, body, palette, clear = 8, b"", None, None
+    at, body, palette, clear = 8, [], None, None
     try:
         while at < len(data):
             size, kind = struct.unpack(">I4s", data[at : at + 8])
@@ -115,53 +180,96 @@ def decode_png(data: bytes) -> np.ndarray | None:
             at += size + 12
             if kind == b"IHDR":
                 w, h, depth, color, _, _, laced = struct.unpack(">IIBBBBB", chunk)
-                if depth != 8 or laced:
+                if laced or depth not in (1, 2, 4, 8, 16):
                     return None
             elif kind == b"PLTE":
                 palette = np.frombuffer(chunk, np.uint8).reshape(-1, 3)
             elif kind == b"tRNS":
                 clear = np.frombuffer(chunk, np.uint8)
             elif kind == b"IDAT":
-                body += chunk
+                body.append(chunk)
         n = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[color]
-        raw = np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, 1 + w * n)
-    except (struct.error, zlib.error, ValueError, KeyError, UnboundLocalError):
-        return None
-    out = np.zeros((h, w * n), np.uint8)
-    for y in range(h):
-        line, mode, up = raw[y, 1:].astype(np.int64), raw[y, 0], out[y - 1].astype(np.int64) if y else np.zeros(w * n, np.int64)
-        if mode == 0:
-            row = line
-        elif mode == 2:
-            row = line + up
-        elif mode == 1:
-            row = np.cumsum(line.reshape(w, n), axis=0).reshape(-1)
+        wide = max(1, n * depth // 8)  # bytes from a pixel to the next
+        line = -(-w * n * depth // 8)
+        raw = np.frombuffer(zlib.decompress(b"".join(body)), np.uint8).reshape(h, 1 + line)
+        x = filled(raw[:, 1:].reshape(h, line // wide, wide).astype(np.uint8), raw[:, 0], wide).reshape(h, line)
+        if depth < 8:
+            bits = np.unpackbits(x, axis=1).reshape(h, -1, depth)[:, : w * n]
+            x = (bits << np.arange(depth - 1, -1, -1, dtype=np.uint8)).sum(axis=2, dtype=np.uint8)
+            x = x if color == 3 else x * np.uint8(255 // (2**depth - 1))
+        elif depth == 16:
+            x = x[:, ::2]
+        x = x.reshape(h, w, n)
+        rgba = np.full((h, w, 4), 255, np.uint8)
+        if color == 3:
+            rgba[..., :3] = palette[x[..., 0]]
+            if clear is not None:
+                rgba[..., 3] = np.concatenate([clear, np.full(256 - len(clear), 255, np.uint8)])[x[..., 0]]
         else:
-            row = np.zeros(w * n, np.int64)
-            for i in range(w * n):
-                a, b, c = (row[i - n] if i >= n else 0), up[i], (up[i - n] if i >= n else 0)
-                if mode == 3:
-                    guess = (a + b) // 2
-                else:
-                    p = a + b - c
-                    guess = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - c), 2, c))[2]
-                row[i] = (line[i] + guess) & 255
-        out[y] = row & 255
-    x = out.reshape(h, w, n)
-    rgba = np.full((h, w, 4), 255, np.uint8)
-    if color == 3:
-        rgba[..., :3] = palette[x[..., 0]]
-        if clear is not None:
-            rgba[..., 3] = np.concatenate([clear, np.full(256 - len(clear), 255, np.uint8)])[x[..., 0]]
-    elif color in (0, 4):
-        rgba[..., :3] = x[..., :1]
-    else:
-        rgba[..., :3] = x[..., :3]
+            rgba[..., :3] = x[..., :1] if color in (0, 4) else x[..., :3]
+    except (struct.error, zlib.error, ValueError, KeyError, IndexError, TypeError, UnboundLocalError):
+        return None
     if color in (4, 6):
         rgba[..., 3] = x[..., -1]
     return rgba
 
 
+def decode_image(data: bytes | None) -> np.ndarray | None:
+    """Pixels (h, w, 4): PNG by the reader above; other formats, and what it leaves, by Pillow where that is installed."""
+    pixels = decode_png(data) if data else None
+    if pixels is not None or not data:
+        return pixels
+    try:
+        from io import BytesIO
+
+        from PIL import Image
+    except ImportError:
+        return None
+    try:
+        return np.asarray(Image.open(BytesIO(data)).convert("RGBA"))
+    except (OSError, ValueError, SyntaxError):
+        return None
+
+
+def encode_png(pixels: np.ndarray) -> bytes:
+    """A PNG of 8-bit grey pixels (h, w)."""
+    h, w = pixels.shape
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    raw = np.concatenate([np.zeros((h, 1), np.uint8), pixels.astype(np.uint8)], axis=1).tobytes()
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+
+
+def dims(data: bytes | None) -> tuple[int, int] | None:
+    """(width, height) from the head of a PNG, GIF or JPEG."""
+    if not data:
+        return None
+    if data[:8] == b"\x89PNG\r\n\x1a\n" and len(data) >= 24:
+        return struct.unpack(">II", data[16:24])
+    if data[:6] in (b"GIF87a", b"GIF89a") and len(data) >= 10:
+        return struct.unpack("<HH", data[6:10])
+    if data[:2] != b"\xff\xd8":
+        return None
+    at = 2
+    while at + 9 <= len(data):
+        if data[at] != 0xFF:
+            return None
+        kind = data[at + 1]
+        if kind == 0xFF or kind == 0x01 or 0xD0 <= kind <= 0xD8:  # fill bytes and markers without a length
+            at += 1 if kind == 0xFF else 2
+        elif 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
+            height, width = struct.unpack(">HH", data[at + 5 : at + 9])
+            return width, height
+        else:
+            at += 2 + struct.unpack(">H", data[at + 2 : at + 4])[0]
+    return None
+
+
+@F.pandas_udf(T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())]))
+def image_dims(content: pd.Series) -> pd.DataFrame:
+    """Nulls where the format is not known."""
+    return pd.DataFrame([x or (None, None) for x in map(dims, content)], columns=["width", "height"])
+
+
 def pixel_metrics(pixels: np.ndarray | None) -> tuple[float, float, float, int, int, int]:
     """(edge density, colour deviation, share of distinct colours, distinct colours, height, width); unreadable images count as all distinct."""
     if pixels is None or not pixels.size:
@@ -207,7 +315,7 @@ METRICS = T.StructType([T.StructField(n, t) for n, t in (("edge_density", T.Doub
 
 @F.pandas_udf(METRICS)
 def image_metrics(content: pd.Series) -> pd.DataFrame:
-    rows = [(*pixel_metrics(x), difference_hash(x)) for x in map(decode_png, content)]
+    rows = [(*pixel_metrics(x), difference_hash(x)) for x in map(decode_image, content)]
     return pd.DataFrame(rows, columns=METRICS.fieldNames())
 
 
@@ -225,3 +333,23 @@ def split_formula(pixels: np.ndarray) -> tuple[slice, slice | None]:
     k = int(gaps.argmax())
     left, right = slice(int(at[0]), int(at[k]) + 1), slice(int(at[k + 1]), int(at[-1]) + 1)
     return (left, right) if right.stop - right.start < RIGHT_MAX_SHARE * width else (whole, None)
+
+
+@F.pandas_udf(T.StructType([T.StructField("formula", T.BinaryType()), T.StructField("number", T.BinaryType())]))
+def formula_parts(content: pd.Series) -> pd.DataFrame:
+    """PNGs of an image's formula and of its number (null without one); what cannot be read is the formula as it is."""
+    rows = []
+    for data in content:
+        pixels = decode_image(data)
+        if pixels is None or not pixels.size:
+            rows.append((data, None))
+            continue
+        gray = np.round(pixels[..., :3] @ np.array([0.299, 0.587, 0.114])).astype(np.uint8)
+        formula, number = split_formula(gray)
+        rows.append((encode_png(gray[:, formula]), None if number is None else encode_png(gray[:, number])))
+    return pd.DataFrame(rows, columns=["formula", "number"])
+
+
+def class_counts(rows: DataFrame) -> DataFrame:
+    """(doc_id, kind, n): of equations the references, of other classes the distinct targets. ``rows`` is (doc_id, rel_name, kind)."""
+    return rows.groupBy("doc_id", "kind").agg(F.count("*").alias("__refs"), F.count_distinct("rel_name").alias("__targets")).select("doc_id", "kind", F.when(F.col("kind") == "equation", F.col("__refs")).otherwise(F.col("__targets")).alias("n"))

@@ -19,8 +19,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet below the shared folder and read again."""
+def stored(df: DataFrame, name: str, log: list[str] | None = None) -> DataFrame:
+    """``df`` written as Parquet below the shared folder and read again. Its path is added to ``log``."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if log is not None:
+        log.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables that no later plan reads, and forget them."""
+    while paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -6,9 +6,12 @@ import base64
 from collections.abc import Callable
 from html import escape
 from html.parser import HTMLParser
+from pathlib import PurePosixPath
+from urllib.parse import urljoin, urlsplit
 
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -228,6 +231,23 @@ def html_to_md(html: Column) -> Column:
     return subsup_tighten(_to_markdown(html))
 
 
+def with_markdown(rows: DataFrame, html: str, md: str = "md") -> DataFrame:
+    """``rows`` with column ``html`` replaced by its Markdown, ``md``.
+
+    One Arrow pass, so what follows reads a column and not an expression over a Python function, which the optimizer would
+    repeat for each use.
+    """
+    kept = [c for c in rows.columns if c != html]
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(map(to_markdown, texts), pa.string())], [*kept, md])
+
+    schema = T.StructType([*(rows.schema[c] for c in kept), T.StructField(md, T.StringType())])
+    return rows.select(*kept, html).mapInArrow(run, schema).withColumn(md, subsup_tighten(F.col(md)))
+
+
 class Inliner(HTMLParser):
     """Rewrites the source of images; all else stays as it is written."""
 
@@ -265,15 +285,34 @@ class Inliner(HTMLParser):
         self.out.append(f"<!{decl}>")
 
 
+def joined(base: str, src: str) -> str:
+    """An image's address; one that cannot be read stays as it is."""
+    try:
+        return urljoin(base, src)
+    except ValueError:
+        return src
+
+
+def sources(html: str | None, base: str) -> list[str]:
+    """The addresses of the images of ``html`` that are not data, in order, each once: those that ``inlined`` asks for."""
+    found: dict[str, None] = {}
+    parser = Inliner(lambda src: found.setdefault(joined(base, src)) or src)
+    parser.feed(html or "")
+    parser.close()
+    return list(found)
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def image_sources(html: pd.Series, base: pd.Series) -> pd.Series:
+    return pd.Series([sources(h, b) for h, b in zip(html, base)])
+
+
 def inlined(html: str | None, base: str, fetched: dict[str, bytes | None]) -> str:
     """Images of ``html`` as data addresses where ``fetched`` has their bytes, else as absolute addresses."""
-    from pathlib import PurePosixPath
-    from urllib.parse import urljoin, urlsplit
-
     from .urls import MEDIA_TYPES
 
     def change(src: str) -> str:
-        url = urljoin(base, src)
+        url = joined(base, src)
         data = fetched.get(url)
         if data is None:
             return url

@@ -13,17 +13,23 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.plans.tables import stored
+
 from . import urls
-from .html import html_to_md, inline_images, oxygen_topic, ti_fragment
+from .html import html_to_md, image_sources, inline_images, oxygen_topic, ti_fragment
 
 #: Fetches at a time.
 FETCHERS = 6
-Fetch = Callable[[str], "bytes | None"]
+#: Address to body, or to (body, address after redirects).
+Fetch = Callable[[str], "bytes | tuple[bytes, str] | None"]
 
 
 @dataclass(frozen=True)
 class Source:
-    """``matches``: address → condition. ``toc``: (address, html) → topics. ``topic_url``: (address, topic) → address. ``body``: html → fragment."""
+    """``matches``: address → condition. ``toc``: html → topics. ``topic_url``: (address, topic) → address. ``body``: html → fragment.
+
+    ``redirected``: addresses of topics and the stem follow from the page's address after redirects.
+    """
 
     name: str
     matches: Callable[[Column], Column]
@@ -32,6 +38,7 @@ class Source:
     body: Callable[[Column], Column]
     stem: Callable[[Column, Column], Column]
     image_base: Callable[[Column, Column], Column]
+    redirected: bool = False
 
 
 def _base(url: Column) -> Column:
@@ -55,6 +62,7 @@ MICROCHIP = Source(
     oxygen_topic,
     lambda url, html: urls.sanitize_stem(F.coalesce(urls.page_title(html), urls.root_guid(url), F.lit("datasheet"))),
     lambda url, topic_url: topic_url,
+    redirected=True,
 )
 _SOURCES: list[Source] = [TI, MICROCHIP]
 _HOOKS: dict[str, Callable] = {}
@@ -88,20 +96,27 @@ def hook(kind: str) -> Callable | None:
 
 
 def fetched(rows: DataFrame, url: str, fetch: Fetch, workers: int = FETCHERS) -> DataFrame:
-    """``rows`` with ``body`` (binary): what ``fetch`` returns for column ``url``, null where it fails."""
+    """``rows`` with ``body`` (binary) and ``final`` (the address after redirects): what ``fetch`` returns for column ``url``, null bodies where it fails."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(body=[_try(fetch, x) for x in batch[url]])
+            answers = [_try(fetch, x) for x in batch[url]]
+            yield batch.assign(body=[x[0] for x in answers], final=[x[1] for x in answers])
 
-    return rows.repartition(workers).mapInPandas(run, ", ".join(f"`{n}` {t}" for n, t in [*rows.dtypes, ("body", "binary")]))
+    return rows.repartition(workers).mapInPandas(run, ", ".join(f"`{n}` {t}" for n, t in [*rows.dtypes, ("body", "binary"), ("final", "string")]))
 
 
-def _try(fetch: Fetch, url: str) -> bytes | None:
+def _try(fetch: Fetch, url: str) -> tuple[bytes | None, str]:
     try:
-        return fetch(url)
+        answer = fetch(url)
     except Exception:  # a page that cannot be had is a null body, as for any other failed fetch
-        return None
+        answer = None
+    return answer if isinstance(answer, tuple) else (answer, url)
+
+
+def text_of(body: Column) -> Column:
+    """UTF-8, with U+FFFD for what is none."""
+    return F.make_valid_utf8(body.cast("string"))
 
 
 def section_assemble(sections: DataFrame) -> DataFrame:
@@ -112,19 +127,27 @@ def section_assemble(sections: DataFrame) -> DataFrame:
 
 
 def fetch_documents(pages: DataFrame, fetch: Fetch, workers: int = FETCHERS) -> DataFrame:
-    """(url, stem, html): vendor documents (url) assembled from their topics, images inlined."""
-    landing = fetched(pages.select("url").distinct().withColumn("source", route(F.col("url"))).filter("source is not null"), "url", fetch, workers).withColumn("html", F.decode("body", "UTF-8"))
+    """(url, source, stem, html, error): vendor documents (url) assembled from their topics, images inlined.
+
+    Each address is fetched once; what is fetched is stored. A document whose page, topics or contents cannot be had has a null
+    html and an error; topics that fail beside others that do not are left out.
+    """
+    landing = pages.select("url").distinct().withColumn("source", route(F.col("url"))).filter("source is not null")
+    landing = stored(fetched(landing, "url", fetch, workers).withColumn("html", text_of(F.col("body"))).drop("body"), "landing")
     out = None
     for source in _SOURCES:
-        own = landing.filter(F.col("source") == source.name)
-        topics = own.select("url", F.posexplode(source.toc(F.col("html"))).alias("pos", "topic")).withColumn("topic_url", source.topic_url(F.col("url"), F.col("topic")))
-        bodies = fetched(topics, "topic_url", fetch, workers).filter("body is not null").select("url", "pos", "topic_url", source.body(F.decode("body", "UTF-8")).alias("body"))
-        bodies = bodies.withColumn("base", source.image_base(F.col("url"), F.col("topic_url")))
-        wanted = bodies.select("url", "pos", "base", F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit(r"""(?is)<img\b[^>]*?\bsrc=["']([^"']+)["']"""), F.lit(1)))).alias("src")).filter(~F.col("src").startswith("data:")).withColumn("at", urls.resolve(F.col("base"), F.col("src")))
-        found = fetched(wanted.select("at").distinct(), "at", fetch, workers).filter("body is not null").withColumnRenamed("body", "bytes")
-        images = wanted.select("url", "pos", "at").distinct().join(found, "at").groupBy("url", "pos").agg(F.map_from_entries(F.collect_list(F.struct("at", "bytes"))).alias("fetched"))
+        own = landing.filter(F.col("source") == source.name).withColumn("at", F.col("final" if source.redirected else "url"))
+        topics = own.select("url", "at", F.posexplode(source.toc(F.col("html"))).alias("pos", "topic")).withColumn("topic_url", source.topic_url(F.col("at"), F.col("topic")))
+        found = fetched(topics.drop("at"), "topic_url", fetch, workers).filter("body is not null").select("url", "pos", "topic_url", source.body(text_of(F.col("body"))).alias("body"))
+        bodies = stored(found.withColumn("base", source.image_base(F.col("url"), F.col("topic_url"))), "topics")
+        wanted = bodies.select("url", "pos", F.explode(image_sources("body", "base")).alias("at"))
+        images = fetched(wanted.select("at").distinct(), "at", fetch, workers).filter("body is not null").select("at", F.col("body").alias("bytes"))
+        images = wanted.join(images, "at").groupBy("url", "pos").agg(F.map_from_entries(F.collect_list(F.struct("at", "bytes"))).alias("fetched"))
         whole = bodies.join(images, ["url", "pos"], "left").withColumn("body", inline_images("body", "base", "fetched"))
-        part = section_assemble(whole.select("url", "pos", "body")).join(own.select("url", source.stem(F.col("url"), F.col("html")).alias("stem")), "url").select("url", "stem", urls.html_wrap(F.col("stem"), F.col("body")).alias("html"))
+        about = own.select("url", "source", source.stem(F.col("at"), F.col("html")).alias("stem"), F.col("html").isNull().alias("lost"), F.coalesce(F.size(source.toc(F.col("html"))) > 0, F.lit(False)).alias("topics"))
+        part = about.join(section_assemble(whole.select("url", "pos", "body")), "url", "left")
+        error = F.when(F.col("lost"), "failed to fetch").when(~F.col("topics"), "no sections found").when(F.col("body").isNull(), "no section content retrieved")
+        part = part.select("url", "source", "stem", F.when(F.col("body").isNotNull(), urls.html_wrap(F.col("stem"), F.col("body"))).alias("html"), error.alias("error"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -137,8 +160,14 @@ def read_files(spark, path: str) -> DataFrame:
     return rows.filter(F.col("suffix").isin(".pdf", ".html"))
 
 
+def route_of(suffix: Column) -> Column:
+    """Which reader a file goes to: html or pdf."""
+    return F.when(suffix == ".html", "html").otherwise("pdf")
+
+
 def extracted(files: DataFrame) -> DataFrame:
     """``files`` with md: HTML by the parser here, PDF by the registered extractor (null without one)."""
     pdf = hook("pdf_extractor")
-    html = F.when(F.col("suffix") == ".html", html_to_md(F.decode("content", "UTF-8")))
+    kind = route_of(F.col("suffix"))
+    html = F.when(kind == "html", html_to_md(text_of(F.col("content"))))
     return files.withColumn("md", html.otherwise(pdf(F.col("content")) if pdf else F.lit(None).cast("string")))

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import html as entities
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from docloom.functions.text import strip
 
 # Patterns, vendors' hosts and media types.
 GUID = r"GUID-[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}"
@@ -46,7 +52,7 @@ def url_stem(url: Column) -> Column:
 
 
 def sanitize_stem(text: Column) -> Column:
-    clean = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+\z", ""), "[^A-Za-z0-9._-]+", "-")
+    clean = F.regexp_replace(strip(F.coalesce(text, F.lit(""))), "[^A-Za-z0-9._-]+", "-")
     return F.coalesce(F.nullif(F.btrim(clean, F.lit("-._")), F.lit("")), F.lit("document"))
 
 
@@ -81,8 +87,18 @@ def toc_rows(pages: DataFrame, key: str, items: Column) -> DataFrame:
     return rows.select(key, (F.row_number().over(Window.partitionBy(key).orderBy("at")) - 1).cast("long").alias("pos"), "item")
 
 
+@F.pandas_udf(T.StringType())
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: t if t is None else entities.unescape(t))
+
+
+def unescaped(text: Column) -> Column:
+    """With character references as characters; texts without one do not go to Python."""
+    return F.coalesce(_unescaped(F.when(text.contains("&"), text)), text)
+
+
 def page_title(html: Column) -> Column:
-    return F.nullif(F.regexp_replace(found(html, r"(?is)<title[^>]*>(.*?)</title>"), r"(?U)^\s+|\s+\z", ""), F.lit(""))
+    return F.nullif(strip(unescaped(found(html, r"(?is)<title[^>]*>(.*?)</title>"))), F.lit(""))
 
 
 def article(html: Column) -> Column:
@@ -107,12 +123,23 @@ def media_type(url: Column) -> Column:
     return column
 
 
+def without_dots(url: Column) -> Column:
+    """An absolute address without the segments ``.`` and ``..`` of its path; ``..`` at the root goes nowhere."""
+    head, tail = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1), F.regexp_extract(url, r"([?#].*)$", 1)
+    parts = F.slice(F.split(path(url), "/", -1), F.lit(2), F.lit(2**30))
+    step = lambda a, x: F.when(x == ".", a).when(x == "..", F.slice(a, F.lit(1), F.greatest(F.lit(0), F.size(a) - 1))).otherwise(F.concat(a, F.array(x)))
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    kept = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path(url).rlike(r"/\.{1,2}(/|$)") & (head != ""), F.concat(head, F.lit("/"), F.array_join(kept, "/"), tail)).otherwise(url)
+
+
 def resolve(base: Column, src: Column) -> Column:
-    """An address relative to a page: absolute, of the same scheme, from the root, or from the page's folder."""
+    """An address relative to a page: absolute, of the same scheme, from the root, or from the page's folder; dot segments resolved."""
     scheme, root = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     folder = F.regexp_extract(F.regexp_replace(base, r"[?#].*$", ""), r"^(.*://[^/]*(?:/.*/|/)?)", 1)
     folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
-    return F.when(src.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), src).when(src.startswith("//"), F.concat(scheme, src)).when(src.startswith("/"), F.concat(root, src)).otherwise(F.concat(folder, F.regexp_replace(src, r"^(\./)+", "")))
+    joined = F.when(src.startswith("/"), F.concat(root, src)).otherwise(F.concat(folder, src))
+    return F.when(src.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), src).when(src.startswith("//"), F.concat(scheme, src)).otherwise(without_dots(joined))
 
 
 def html_wrap(title: Column, body: Column) -> Column:

@@ -77,9 +77,9 @@ def test_image_queries_take_whole_texts(spark):
         maps[d.doc_id] = [(i, f, h) for i, (f, h) in enumerate(zip(files, sha), 1)]
     of = lambda name: QUERIES[name](spark, SF)
     assert max(len(d.text) for d in docs) > 10000
-    assert {(r.doc_id, r.occurrence, r.alt, r.original_file, r.sha256) for r in of("image_occurrence_whole").collect()} == found
-    assert {r.doc_id: r.md for r in of("split_images_whole").collect()} == split
-    assert {r.doc_id: [(e["occurrence"], e["final_file"], e["content_sha256"]) for e in json.loads(r.image_map)["entries"]] for r in of("image_map_json_whole").collect()} == maps
+    assert {(r.doc_id, r.occurrence, r.alt, r.original_file, r.sha256) for r in of("image_occurrence").collect()} == found
+    assert {r.doc_id: r.md for r in of("split_images").collect()} == split
+    assert {r.doc_id: [(e["occurrence"], e["final_file"], e["content_sha256"]) for e in json.loads(r.image_map)["entries"]] for r in of("image_map_json").collect()} == maps
     rows = lambda x: spark.createDataFrame(list(x.items()), "doc_id long, md string").withColumn("md", drop_guid_lines("md"))
     assert {r.doc_id: r.md for r in of("postprocess_refs").collect()} == {r.doc_id: r.md for r in rows(split).collect()}
     assert {r.doc_id: r.md for r in of("convert_documents").collect()} == {r.doc_id: r.md for r in text_pipeline(rows(named)).collect()}
@@ -87,7 +87,7 @@ def test_image_queries_take_whole_texts(spark):
 
 @needs_data
 def test_latex_queries_take_whole_texts(spark):
-    """Against brute force over tokens, as in the SQL of the queries on prefixes."""
+    """Against brute force over tokens, over whole texts."""
     despaced, thin = {}, {}
     for d in spark.read.parquet(f"{SF}/documents.parquet").collect():
         f = f"R _ {{ {d.lang} }} = \\mu A \\max  off \\, 1\\,2\\,3 \\, \\x\n y\t{d.text}" + "\\" * (d.doc_id % 4 == 0)
@@ -96,5 +96,5 @@ def test_latex_queries_take_whole_texts(spark):
         despaced[d.doc_id] = "".join(blank(k) if x.isspace() else x for k, x in enumerate(t))
         thin[d.doc_id] = re.sub(r"(?<=\d)\\,(?=\d)", "", f)
     assert max(map(len, thin.values())) > 10000
-    assert {r.doc_id: r.latex for r in QUERIES["latex_despace_whole"](spark, SF).collect()} == despaced
-    assert {r.doc_id: r.latex for r in QUERIES["latex_thinspace_whole"](spark, SF).collect()} == thin
+    assert {r.doc_id: r.latex for r in QUERIES["latex_despace"](spark, SF).collect()} == despaced
+    assert {r.doc_id: r.latex for r in QUERIES["latex_thinspace"](spark, SF).collect()} == thin

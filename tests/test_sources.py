@@ -1,7 +1,14 @@
+import threading
+import time
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+from urllib.parse import urljoin
+
+import pytest
 from pyspark.sql import functions as F
 
 from docloom.sources import html as ht
 from docloom.sources import registry, urls
+from docloom.sources.fetch import AGENT, downloads, http_fetch
 
 
 def column(spark, values, change):
@@ -38,20 +45,71 @@ def test_html():
 
 
 def test_fetching_vendor_documents(spark):
+    ti, chip = "https://www.ti.com/document-viewer/UCC1/datasheet", "https://onlinedocs.microchip.com/g/index.html"
     site = {
-        "https://www.ti.com/document-viewer/UCC1/datasheet": b'<a href="/document-viewer/UCC1/datasheet/GUID-A">a</a> /document-viewer/UCC1/datasheet/GUID-B /document-viewer/UCC1/datasheet/GUID-C',
-        "https://www.ti.com/document-viewer/UCC1/datasheet/GUID-A?raw=1": b"<div class='section'>first <img src='/i.gif'></div>",
-        "https://www.ti.com/document-viewer/UCC1/datasheet/GUID-B?raw=1": b"<div class='subsection'>second <img src='lost.png'></div>",
-        "https://www.ti.com/i.gif": b"GIF",
-        "https://onlinedocs.microchip.com/g/index.html": b"<title> AVR &amp; x</title><a href='GUID-1.html'>t</a>",
-        "https://onlinedocs.microchip.com/g/GUID-1.html": b"<body><article>topic</article></body>",
-    }
-    pages = spark.createDataFrame([("https://www.ti.com/document-viewer/UCC1/datasheet",), ("https://onlinedocs.microchip.com/g/index.html",), ("https://e.org",)], "url string")
-    out = {r.stem: r.html for r in registry.fetch_documents(pages, lambda u: site[u], workers=2).collect()}
-    assert set(out) == {"ucc1", "AVR-amp-x"}
-    body = out["ucc1"]
-    assert body.index("first") < body.index("second") and "data:image/gif;base64,R0lG" in body and "https://www.ti.com/lost.png" in body
-    assert "<article>topic</article>" in out["AVR-amp-x"]
+        ti: b'<a href="/document-viewer/UCC1/datasheet/GUID-A">a</a> /document-viewer/UCC1/datasheet/GUID-B /document-viewer/UCC1/datasheet/GUID-C',
+        f"{ti}/GUID-A?raw=1": b"<div class='section'>first <img src='/i.gif'><img alt=z src=plain.png><img src=../up/./a.jpg><img src='q.png?x=1&amp;y=2'></div>",
+        f"{ti}/GUID-B?raw=1": b"<div class='subsection'>second \xff <img src='lost.png'></div>",
+        "https://www.ti.com/i.gif": b"GIF", "https://www.ti.com/plain.png": b"PNG", "https://www.ti.com/up/a.jpg": b"JPG", "https://www.ti.com/q.png?x=1&y=2": b"QQQ",
+        chip: (b"<title> AVR &amp; x</title><a href='GUID-1.html'>t</a><a href='GUID-2.html'>gone</a>", "https://onlinedocs.microchip.com/moved/index.html"),
+        "https://onlinedocs.microchip.com/moved/GUID-1.html": b"<body><article>topic <img src='../m.svg'></article></body>",
+        "https://onlinedocs.microchip.com/m.svg": b"<svg/>",
+        "https://www.ti.com/document-viewer/EMPTY/datasheet": b"nothing",
+        "https://www.ti.com/document-viewer/LOST/datasheet": b"/document-viewer/LOST/datasheet/GUID-A",
+    }
+    pages = spark.createDataFrame([(u,) for u in (ti, chip, chip, "https://www.ti.com/document-viewer/EMPTY/datasheet", "https://www.ti.com/document-viewer/LOST/datasheet", "https://www.ti.com/document-viewer/GONE/datasheet", "https://e.org")], "url string")
+    out = {r.url: r for r in registry.fetch_documents(pages, lambda u: site[u], workers=2).collect()}
+    assert {u.rsplit("/", 2)[1]: r.error for u, r in out.items()} == {"UCC1": None, "g": None, "EMPTY": "no sections found", "LOST": "no section content retrieved", "GONE": "failed to fetch"}
+    assert out[ti].stem == "ucc1" and out[chip].stem == "AVR-x" and all((r.html is None) == (r.error is not None) for r in out.values())
+    body = out[ti].html
+    assert body.index("first") < body.index("second") and "https://www.ti.com/lost.png" in body
+    assert all(f"data:image/{k};base64,{v}" in body for k, v in (("gif", "R0lG"), ("png", "UE5H"), ("jpeg", "SlBH"), ("png", "UVFR")))
+    assert "topic" in out[chip].html and "data:image/svg+xml;base64," in out[chip].html
+
+
+def test_downloads(spark):
+    site = {"https://e.org/a%20b.pdf?x": b"%PDF-1.7 x", "https://e.org/login": b"<html>", "https://e.org/c.pdf": (b"%PDF", "https://cdn/c")}
+    rows = {r.url: (r.source_name, r.content, r.error) for r in downloads(spark.createDataFrame([(u,) for u in [*site, "https://gone"]], "url string"), lambda u: site[u]).collect()}
+    assert rows == {"https://e.org/a%20b.pdf?x": ("a_b.pdf", b"%PDF-1.7 x", None), "https://e.org/login": ("login.pdf", None, "not a PDF"), "https://e.org/c.pdf": ("c.pdf", b"%PDF", None), "https://gone": ("document.pdf", None, "failed to download")}
+
+
+def test_http(tmp_path):
+    """Agent, redirect, time limit and errors against a server of this machine."""
+
+    class Site(BaseHTTPRequestHandler):
+        def do_GET(self):
+            if self.path == "/old":
+                self.send_response(302)
+                self.send_header("Location", "/new")
+                self.end_headers()
+                return
+            if self.path == "/slow":
+                time.sleep(1.5)
+            self.send_response(404 if self.path == "/none" else 200)
+            self.end_headers()
+            self.wfile.write(self.headers["User-Agent"].encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Site)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    try:
+        assert http_fetch(f"{base}/old") == (AGENT.encode(), f"{base}/new")
+        for path, seconds in (("/none", 5), ("/slow", 0.3)):
+            with pytest.raises(OSError):
+                http_fetch(base + path, seconds)
+    finally:
+        server.shutdown()
+
+
+def test_resolving(spark):
+    base = "https://h.org/a/b/p.html?q=/x/"
+    for src in ("i.png", "./i.png", "../i.png", "../../../i.png", "/r/../i.png", "//c.org/x/./y", "https://e.org/a/../b", "x/../y?z=/../w", ".", "..", "a/b/..", "#f", "..a/b"):
+        if src not in ("#f", "https://e.org/a/../b"):
+            assert column(spark, [src], lambda c: urls.resolve(F.lit(base), c)) == [urljoin(base, src)], src
+    assert column(spark, ["<title> a &amp;&#65; </title>", "<title>&nbsp; </title>", "<title>x & y", None], urls.page_title) == ["a &A", None, None, None]
 
 
 def test_files(spark, tmp_path):

@@ -68,3 +68,52 @@ def test_labels_and_alts(spark):
     assert [got[i] for i in range(len(labels))] == list(labels.values())
     alts = {" a \n b ": "a b", "": None, " ": None, "<bound method x": None, "see data:image": None, "x" * 301: None, "x" * 300: "x" * 300}
     assert through(spark, [*alts, None], tx.alt_sanitize) == [*alts.values(), None]
+
+
+LONG = 100_000
+
+
+def test_long_texts(spark):
+    """No pattern recurses or goes back over and over: each takes a text of many lines or blanks in one task."""
+    numbers, blanks, feeds = "1 2\n" * LONG, " " * LONG, "\n" * LONG
+    texts = ["x\n" + numbers + "y", numbers, "\r" + numbers, blanks, "a" + blanks + "b", feeds + "x", "x" + feeds + "12", "```" + blanks, "• " * LONG, "a <sub>" * LONG]
+    assert through(spark, texts[:3], tx.drop_number_runs) == ["x\ny", "", "\r"]
+    assert through(spark, texts[3:5], tx.strip) == ["", texts[4]]
+    assert through(spark, texts[5:7], tx.strip_trailing_pageno) == [texts[5], "x\n"]
+    assert [len(x) for x in through(spark, texts, tx.clean_markdown)] == [3, 0, 1, LONG, LONG + 2, LONG + 1, 2, LONG + 3, 2 * LONG, 7 * LONG]
+    assert through(spark, texts[-1:], tx.subsup_tighten) == ["a<sub>" + "a<sub>" * (LONG - 1)]
+    formulas = ["\\alpha" + blanks + "x", "\\alpha" + "\n\\" * LONG + "\nx", "$$" + "a\n" * LONG + "$$", "$" + "a " * LONG + "$"]
+    assert through(spark, formulas[:1], latex.latex_despace) == ["\\alpha x"]
+    assert len(through(spark, formulas, latex.latex_despace)[1]) < 20
+    assert through(spark, formulas[2:], lambda c: F.size(latex.math_spans(c)).cast("string")) == ["1", "1"]
+    assert through(spark, ["GUID-1.gif\n" * LONG, "x"], tx.drop_guid_lines) == ["", "x"]
+
+
+def test_number_runs_after_any_line_separator(spark):
+    seven = "7\n" * 6
+    for c in "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029":
+        assert through(spark, ["a" + c + seven + "b"], tx.drop_number_runs) == ["a" + c + "b"], repr(c)
+    for c in ("\t", " ", "x", "\u00a0"):
+        assert through(spark, ["a" + c + "7\n" * 6 + "b"], tx.drop_number_runs) == ["a" + c + "7\n" * 6 + "b"], repr(c)
+
+
+def test_unwrap():
+    cases = {
+        r"\mathsf{a}": "a", r"\mathsf{a\mathsf{b}}c": "abc", r"\mathrm{a": r"\mathrm{a", r"\times\mathrm{N}": r"\times N", r"\times\mathrm{1}": r"\times1", r"\mathsf{}x": "x",
+        r"\mathsf{a}\mathsf{b": r"a\mathsf{b", r"\mathrm{a\mathsf{b}}": "ab", r"{\mathsf{a}}": "{a}", r"}\mathsf{a}": "}a", r"\mathsf{\mathsf}{x}": "x", r"\mathsf\mathsf{{x}}": "x", r"\mathsf\mathsf{{": r"\mathsf\mathsf{{",
+        r"\x\mathsf{\mathsf{b}}": r"\x b", r"\x\mathsf{\mathsf{}b}": r"\xb", r"\mathsf {a}": r"\mathsf {a}", "": "", r"\mathsf{é}": "é", r"\x\mathrm{é}": r"\x é",
+    }
+    assert {k: latex.unwrap(k) for k in cases} == cases
+    deep = r"\mathsf{" * 20000 + "a" + "}" * 20000
+    assert latex.unwrap(deep) == "a" and latex.unwrap(r"\mathsf{" * 20000) == r"\mathsf{" * 20000 and latex.unwrap(r"\mathrm{a}" * 20000) == "a" * 20000
+
+
+def test_a_pattern_is_run_once(spark):
+    """The passes behind the HTML parser read a column: no pattern stands in the plan for each use of its result."""
+    from docloom.plans.convert import text_pipeline
+    from docloom.sources.html import with_markdown
+
+    pages = spark.createDataFrame([(1, "<p>x</p>")], "id long, html string")
+    plan = text_pipeline(with_markdown(pages, "html"))._jdf.queryExecution().executedPlan().toString()
+    for pattern in ("{6,}", "CONFIDENTIAL AND PROPRIETARY", "four-layer"):
+        assert plan.count(pattern) == 1, pattern
