@@ -19,8 +19,11 @@ Links, in three steps, none of which emits the pairs within a group:
     repeats of a signature, so a signature comes to the shuffle at most once per task's flush, however many sets share it.
  2. Groups whose sets then lie in several linked components are open. Of open groups with the same sets one is kept. Their
     sets are dealt into blocks of bounded size: a component that fills more than a block has blocks of its own, small ones share.
- 3. Blocks of one group are compared with each other within a task, but for two blocks of one component; a task gives only
-    links that join two components. Only sets that share a signature are compared, and no closure of unproven pairs is made.
+ 3. Blocks of one group are compared with each other within a task, but for two blocks of one component, first by sketches: a
+    set's shingles are hashed to bits, a bit tells whether an odd number of shingles fell on it. Two sets differ in at least as
+    many shingles as their sketches in bits, so what is too far apart by the sketches cannot be linked. The sets that have a
+    partner left are compared again by their texts; a task gives only links that join two components. Only sets that share a
+    signature are compared, no closure of unproven pairs is made, and few texts are moved.
 Components are found by large-star and small-star steps over tables in the shared folder.
 
 Hot keys: hashes, counts and minima are aggregated in the map tasks first; joins on a node or signature that many rows share
@@ -53,6 +56,8 @@ BROADCAST_ROWS = 1_000_000
 MEMO_WORDS, BAND, SPARE = 300_000, 1.4, 0.4
 #: Texts of the sample of frequent shingles, sample texts that hold one at least, and how many are kept; the similarity below which it is made.
 SAMPLE_TEXTS, FREQUENT_IN, FREQUENT_MOST, FREQUENT_BELOW = 4000, 3, 1 << 18, 85
+#: Bits of a sketch for each shingle that similar sets may differ in, and at least.
+SKETCH, SKETCH_LEAST = 16, 64
 #: Parts of the domain for small k; sets and bytes of text in a block, shingles in a slice of a comparison; signatures that a task holds.
 PARTS, BLOCK_SETS, BLOCK_BYTES, SLICE, HELD_SIGNATURES = 8, 512, 4_000_000, 8192, 1 << 20
 _LOWER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
@@ -312,19 +317,48 @@ def linked(docs: DataFrame, known: DataFrame, of: Sets, percent: int) -> DataFra
     owners = cut(known.filter("node is not null").join(involved, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"))).alias("x")).select("node", F.col("x.doc").alias("doc_id")), "owners")
     texts = cut(texts_of(docs, owners, of), "texts")
     links = cut(verified(pairs, texts, of, percent), "links")
-    members = open_groups(found, connected(links), texts)
-    more = cut(settled(members, texts, of, percent), "links")
+    members = cut(open_groups(found, connected(links), cut(sketches(texts, of, percent), "sketches")), "members")
+    more = cut(settled(near(members, percent), texts, of, percent), "links")
     return connected(links.unionByName(more))
 
 
-def open_groups(found: DataFrame, parts: DataFrame, texts: DataFrame) -> DataFrame:
-    """(sig, node, component, owner, part): the sets of groups of more than two sets and several linked components, dealt into blocks.
+def sketch(sets: np.ndarray, percent: int) -> bytes:
+    """The parities of how many shingles fall on each bit; a power of two of bits."""
+    apart = 2 * len(sets) * (100 - percent) // (100 + percent)
+    bits = max(SKETCH_LEAST, 1 << (SKETCH * apart).bit_length())
+    at = (mixed(sets ^ _M1) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches as rows of words, the longer ones folded to ``size`` bytes: the parity of a sum is that of its parts."""
+    out = np.zeros((len(sketches), size), np.uint8)
+    for row, x in zip(out, sketches):
+        row[:] = np.bitwise_xor.reduce(np.frombuffer(x, np.uint8).reshape(-1, size), axis=0)
+    return out.view(np.uint64)
+
+
+def sketches(texts: DataFrame, of: Sets, percent: int) -> DataFrame:
+    """(node, bytes, size, sketch) of each row of ``texts``."""
+
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            sets = [of(t.as_py(), hashes) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([len(x) for x in sets], pa.int64()), pa.array([sketch(x, percent) for x in sets], pa.binary())], ["node", "bytes", "size", "sketch"])
+
+    return texts.select("node", F.octet_length("text").cast("long").alias("bytes"), "text").mapInArrow(trimmed(run), "node long, bytes long, size long, sketch binary")
+
+
+def open_groups(found: DataFrame, parts: DataFrame, about: DataFrame) -> DataFrame:
+    """(sig, node, component, size, sketch, owner, part): the sets of groups of more than two sets and several linked components, dealt into blocks.
 
     ``owner`` is the component of a block that holds one alone, else null; ``part`` numbers the blocks of an owner, or those without.
+    ``about`` is ``sketches``.
     """
     members = found.select("sig", "node").unionByName(found.select("sig", F.col("first").alias("node"))).distinct()
-    about = texts.select("node", F.octet_length("text").cast("long").alias("bytes")).join(parts, "node", "left").select("node", "bytes", F.coalesce("component", "node").alias("component"))
-    members = cut(members.join(about, "node"), "members")
+    placed = about.select("node", "bytes").join(parts, "node", "left").select("node", "bytes", F.coalesce("component", "node").alias("component"))
+    members = cut(members.join(placed, "node"), "placed")
     each = members.groupBy("sig", "component").agg(F.count("*").alias("sets"), F.sum("bytes").alias("bytes"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("y"))
     blocks = lambda sets, size: F.ceil(F.greatest(sets / BLOCK_SETS, size / BLOCK_BYTES)).cast("long")
     each = each.withColumn("blocks", blocks(F.col("sets"), F.col("bytes")))
@@ -332,42 +366,67 @@ def open_groups(found: DataFrame, parts: DataFrame, texts: DataFrame) -> DataFra
     several = each.groupBy("sig").agg(F.count("*").alias("components"), F.sum("sets").alias("total"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"), F.sum(of_small * F.col("sets")).alias("small_sets"), F.sum(of_small * F.col("bytes")).alias("small_bytes"))
     several = several.filter("components > 1 and total > 2").dropDuplicates(["x", "y", "total"]).select("sig", F.greatest(F.lit(1), blocks(F.col("small_sets"), F.col("small_bytes"))).alias("shared_blocks"))
     asked = each.select("sig", "component", "blocks").join(several, "sig")
-    rows = members.join(asked, ["sig", "component"])
+    rows = members.join(asked, ["sig", "component"]).join(about.select("node", "size", "sketch"), "node")
     alone = F.col("blocks") > 1
     part = F.when(alone, F.pmod(F.xxhash64("node"), F.col("blocks"))).otherwise(F.pmod(F.xxhash64("component"), F.col("shared_blocks")))
-    return rows.select("sig", "node", "component", F.when(alone, F.col("component")).alias("owner"), part.alias("part"))
+    return rows.select("sig", "node", "component", "size", "sketch", F.when(alone, F.col("component")).alias("owner"), part.alias("part"))
 
 
-def settled(members: DataFrame, texts: DataFrame, of: Sets, percent: int) -> DataFrame:
-    """(a, b): links that join components, from comparing the sets of each group's blocks. ``members`` is ``open_groups``."""
+def near(members: DataFrame, percent: int) -> DataFrame:
+    """(work, node, component): the sets that have, in two blocks of a group, a partner of another component that their sketches do not rule out."""
+    blocks = members.groupBy("sig", "owner", "part").agg(F.collect_list(F.struct("node", "component", "size", "sketch")).alias("m"), F.min("component").alias("low"), F.max("component").alias("high"))
     name = F.concat_ws("/", F.col("sig").cast("string"), F.coalesce(F.col("owner").cast("string"), F.lit("")), F.col("part").cast("string"))
-    blocks = members.join(texts, "node").groupBy("sig", "owner", "part").agg(F.collect_list(F.struct("node", "component", "text")).alias("m"), F.min("component").alias("low"), F.max("component").alias("high"))
     blocks = cut(blocks.withColumn("block", name), "blocks")
     names = blocks.select("sig", "block", "low", "high")
     other = names.select("sig", *(F.col(x).alias(f"{x}_b") for x in ("block", "low", "high")))
     work = names.join(other, "sig").filter("block <= block_b and (low <> high or low_b <> high_b or low <> low_b)")
     work = work.select("block", F.when(F.col("block") != F.col("block_b"), F.col("block_b")).alias("block_b"))
-    work = work.join(blocks.select("block", "m"), "block").join(blocks.select(F.col("block").alias("block_b"), F.col("m").alias("m_b")), "block_b", "left").select("m", "m_b")
+    work = work.join(blocks.select("block", "m"), "block").join(blocks.select(F.col("block").alias("block_b"), F.col("m").alias("m_b")), "block_b", "left").select(F.concat_ws(" ", "block", "block_b").alias("work"), "m", "m_b")
+
+    def run(batches):
+        for batch in batches:
+            for name, left, right in zip(*(batch.column(k) for k in range(3))):
+                sides = [side.as_py() for side in (left, right) if side.is_valid]
+                size = min(len(x["sketch"]) for side in sides for x in side)
+                words = [folded([x["sketch"] for x in side], size) for side in sides]
+                counts = [np.array([x["size"] for x in side], np.int64) for side in sides]
+                parts = [np.array([x["component"] for x in side], np.int64) for side in sides]
+                some = [np.zeros(len(side), bool) for side in sides]
+                for i in range(len(sides[0])):
+                    apart = np.bitwise_count(words[0][i] ^ words[-1]).sum(axis=1, dtype=np.int64)
+                    apart = np.maximum(apart, np.abs(counts[0][i] - counts[-1]))
+                    good = (apart * (100 + percent) <= (counts[0][i] + counts[-1]) * (100 - percent)) & (parts[0][i] != parts[-1])
+                    some[0][i] |= good.any()
+                    some[-1] |= good
+                found = [(x["node"], x["component"]) for side, kept in zip(sides, some) for x, k in zip(side, kept.tolist()) if k]
+                yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(found), pa.string()), pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], ["work", "node", "component"])
+
+    rows = work.repartition(max(1, work.sparkSession.sparkContext.defaultParallelism * 4)).mapInArrow(trimmed(run), "work string, node long, component long")
+    rows = cut(rows, "near")
+    alike = rows.groupBy("work").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("y"), F.count("*").alias("n"))
+    return rows.join(alike.dropDuplicates(["x", "y", "n"]).select("work"), "work")
+
+
+def settled(members: DataFrame, texts: DataFrame, of: Sets, percent: int) -> DataFrame:
+    """(a, b): links that join components, from comparing all sets of each ``work`` of ``members`` (work, node, component), those of two blocks at most."""
+    work = members.join(texts, "node").groupBy("work").agg(F.collect_list(F.struct("node", "component", "text")).alias("m")).select("m")
 
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
-            for k in range(batch.num_rows):
-                left, right = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                sets = [of(x["text"], hashes) for x in left]
-                both = overlaps(sets, sets if right is None else [of(x["text"], hashes) for x in right], percent)
-                if right is None:
-                    right, both = left, np.triu(both, 1)
+            for m in batch.column(0):
+                rows = m.as_py()
+                sets = [of(x["text"], hashes) for x in rows]
                 parent: dict[int, int] = {}
                 out = []
-                for i, j in np.argwhere(both).tolist():
-                    a, b = root(parent, left[i]["component"]), root(parent, right[j]["component"])
+                for i, j in np.argwhere(np.triu(overlaps(sets, sets, percent), 1)).tolist():
+                    a, b = root(parent, rows[i]["component"]), root(parent, rows[j]["component"])
                     if a != b:
                         parent[a] = b
-                        out.append((left[i]["node"], right[j]["node"]))
+                        out.append((rows[i]["node"], rows[j]["node"]))
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
 
-    return work.repartition(max(1, work.sparkSession.sparkContext.defaultParallelism * 4)).mapInArrow(trimmed(run), "a long, b long")
+    return work.mapInArrow(trimmed(run), "a long, b long")
 
 
 def root(parent: dict[int, int], x: int) -> int:
