@@ -1,13 +1,14 @@
 """Token counts of whole texts by overlap resynchronisation.
 
-A document longer than one chunk is encoded as overlapping chunks with offsets. Two neighbouring chunks are spliced at
-a boundary that is proven stable: it follows ASCII white space, both encodings have a token border there, and the tokens
-around it are the same in both. White space is never part of a token of a tokenizer that drops it, so the runs on either
-side of such a border do not influence each other. Where no such border lies in the overlap, the overlap is widened, if
-need be over the rest of the text. At most two chunks' encodings are held at a time.
+A text is encoded as overlapping chunks with offsets. Two neighbouring chunks are spliced at a boundary that is proven
+stable: it follows ASCII white space, both encodings have a token border there, and the tokens around it are the same in
+both. White space is never part of a token of a tokenizer that drops it, so the runs on either side of such a border do not
+influence each other. Where no such border lies in the overlap, the overlap is widened, if need be over the rest of the text.
+At most two chunks' encodings are held at a time.
 
 A text of a single chunk needs no splice; its white-space-delimited runs are counted through a bounded memo of runs, each
-encoded by the library.
+encoded by the library. That the tokenizer drops white space, on which both rest, is read from its own definition when it is
+loaded: its words must come from a pattern of known parts that match no white space. Texts are encoded whole with any other.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; repeated rows each give a row; other columns are ignored.
 """
@@ -15,12 +16,15 @@ Defined results: a null or empty text has 0 bytes and 0 tokens; repeated rows ea
 from __future__ import annotations
 
 import functools
+import json
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import trimmed
+
 #: Runs that a worker remembers at most, and the longest run that it remembers.
 MEMO_RUNS, MEMO_CHARS = 500_000, 64
 _BLANK = frozenset(" \t\n\x0b\x0c\r")
@@ -36,6 +40,31 @@ def load(path: str):
     return tokenizer
 
 
+#: Parts of patterns that match no white space, pre-tokenizers that cut at it, normalizers that change no text beside it.
+PARTS = frozenset({"'s", "'t", "'re", "'ve", "'m", "'ll", "'d", r"[\p{L}]+", r"[\p{N}]", r"[\p{N}]+", r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+", r"\w+", r"[^\w\s]+"})
+CUTTERS, NORMALIZERS = frozenset({"Whitespace", "WhitespaceSplit", "BertPreTokenizer"}), frozenset({"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents"})
+
+
+def _steps(found: dict | None, name: str) -> list[dict]:
+    return [] if found is None else [y for x in found[name] for y in _steps(x, name)] if found["type"] == "Sequence" else [found]
+
+
+@functools.lru_cache(maxsize=4)
+def drops_blanks(path: str) -> bool:
+    """Whether the tokenizer's definition shows that white space ends each word, is in none, and changes nothing beside it."""
+    with open(path) as f:
+        found = json.load(f)
+    for x in _steps(found["normalizer"], "normalizers"):
+        if x["type"] not in NORMALIZERS and not (x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"} and x["content"] == " "):
+            return False
+    if any(x["lstrip"] or x["rstrip"] or x["single_word"] or _BLANK & set(x["content"]) for x in found["added_tokens"]):
+        return False
+    first = next(iter(_steps(found["pre_tokenizer"], "pretokenizers")), {"type": None})
+    if first["type"] == "Split":
+        return first["behavior"] == "Removed" and first["invert"] and set(first["pattern"].get("Regex", " ").split("|")) <= PARTS
+    return first["type"] in CUTTERS
+
+
 class Memo(dict):
     """Token counts of white-space-delimited runs."""
 
@@ -99,6 +128,8 @@ def spliced(tokenizer, text: str, chunk: int, overlap: int, agree: int = 2) -> I
 
 def counter(path: str, chunk: int, overlap: int) -> Callable[[str], int]:
     tokenizer = load(path)
+    if not drops_blanks(path):
+        return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
     memo = Memo(tokenizer)
 
     def count(text: str) -> int:
@@ -121,4 +152,4 @@ def token_counts(docs: DataFrame, tokenizer_path: str, chunk: int = 16_384, over
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"))
     kind = dict(docs.dtypes)["doc_id"]
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)
+    return rows.mapInArrow(trimmed(run), f"doc_id {kind}, n_bytes long, n_tokens long").withColumn("over_limit", F.col("n_tokens") > limit)

@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from docloom.llm.token_counts import spliced, token_counts
+from docloom.llm.token_counts import drops_blanks, spliced, token_counts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -32,3 +32,12 @@ def test_counts(spark):
         n = len(t.encode(x or "", add_special_tokens=False).ids)
         assert got[i] == (len((x or "").encode()), n, n > 2048)
     assert token_counts(df.limit(0), PATH).count() == 0
+
+
+def test_tokenizers_that_keep_white_space(spark):
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert drops_blanks(PATH) and not drops_blanks(other)
+    t = Tokenizer.from_file(other)
+    data = [(i, x) for i, x in enumerate(texts(2))] + [(99, "a  b \n\n c" * 300)]
+    got = {r.doc_id: r.n_tokens for r in token_counts(spark.createDataFrame(data, "doc_id long, text string"), other, chunk=100, overlap=10).collect()}
+    assert got == {i: len(t.encode(x, add_special_tokens=False).ids) for i, x in data}
