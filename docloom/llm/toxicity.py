@@ -2,11 +2,12 @@
 
 Texts are lower-cased, blanks collapsed; their distinct character n-grams are hashed into ``BINS`` bins. From the training
 rows come, per bin, the log ratio r of its smoothed frequencies in toxic and other texts. The bins that set the classes
-apart best (by chi-square, ``FEATURES`` at most) are the features; each is present (r) or absent (0), and a logistic
-regression with an L2 penalty is fitted on them. A score is the regression's probability for the whole text.
+apart significantly (a chi-square of ``LEAST_CHI`` or more, that of one in a thousand by chance) are the features, all of
+them; each is present (r) or absent (0), and a logistic regression with an L2 penalty is fitted on them. A score is the
+regression's probability for the whole text.
 
 Training takes the ``MAX_TRAIN`` labelled rows with the smallest hash of doc_id, a documented bound: what the driver gathers
-is at most MAX_TRAIN rows of FEATURES numbers and a row per bin. Every text is scored with one array of BINS weights.
+is the features of that many texts at most and a row per bin. Every text is scored with one array of BINS weights.
 
 Defined results: a null or empty text has no features and gets the score of the intercept; without training rows of both
 classes every score is the smoothed share of toxic rows; null labels and labels of unknown documents are left out; of
@@ -24,11 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import give_back, small_batches, trimmed
+from .common import give_back, shielded, small_batches, trimmed
 
-BINS, SIZES, FEATURES, MAX_TRAIN = 1 << 18, (2, 3, 4, 5), 2000, 20_000
-#: L2 penalty and steps of the regression; bins in fewer training texts are no features.
-PENALTY, STEPS, LEAST_TEXTS = 1e-3, 200, 2
+BINS, SIZES, MAX_TRAIN = 1 << 18, (2, 3, 4, 5), 20_000
+#: L2 penalty and steps of the regression; bins in fewer training texts, or with a smaller chi-square, are no features.
+PENALTY, STEPS, LEAST_TEXTS, LEAST_CHI = 1e-3, 120, 2, 10.83
 #: Training rows that a step of the regression takes at a time.
 FIT_ROWS = 1000
 _BLANKS = re.compile(r"[\x20\x09-\x0D]+")
@@ -92,9 +93,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> tuple[np
         return weights, float(np.log((n1 + 1) / (n0 + 1)))
     ratio = np.log((p + 1) / (n1 + 2)) - np.log((q + 1) / (n0 + 2))
     seen = p + q
-    apart = np.where(seen >= LEAST_TEXTS, (p * (n0 - q) - q * (n1 - p)) ** 2 / np.maximum(seen * (n0 + n1 - seen), 1), 0)
-    chosen = np.argsort(-apart, kind="stable")[:FEATURES]
-    chosen = np.sort(chosen[apart[chosen] > 0])
+    chi = (p * (n0 - q) - q * (n1 - p)) ** 2 * (n0 + n1) / np.maximum(seen * (n0 + n1 - seen) * n0 * n1, 1)
+    chosen = np.flatnonzero((seen >= LEAST_TEXTS) & (chi >= LEAST_CHI))
     place = np.full(BINS, -1, np.int32)
     place[chosen] = np.arange(len(chosen), dtype=np.int32)
 
@@ -164,3 +164,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> DataF
     docs = docs.select("doc_id", "text")
     rows = score_column(docs, train(docs, labels, most), ["doc_id"])
     return rows.select("doc_id", held_out("doc_id").alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+
+
+@shielded("doc_id", "text")
+def clean_documents(docs: DataFrame, labels: DataFrame, below: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score less than ``below``, by a classifier trained on the labelled ones among them."""
+    return score_column(docs, train(docs, labels), docs.columns).filter(F.col("__score") < below).select(*docs.columns)
