@@ -8,6 +8,7 @@ their host, here the source. Of a host's distinct documents (equal texts are one
 counted; a line above both limits, ``min_docs`` documents and ``max_share`` of the host's documents, is removed. A
 document is depleted, and rejected, if less than ``min_left`` words or less than ``min_left_share`` of its words remain.
 
+Lines are split and hashed once: their hashes and counts are a written table that both the counting and the join back read.
 A line that a third of all documents share is one row per map task after partial aggregation; the join back splits
 skewed partitions, and groups by (host, text), so copies of a text meet in one small row.
 
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, WORD, words
+from .common import BLANKS, WORD, cut, shielded, words
 
 #: Limits of the line rule, in documents of a host and in words of a document.
 MIN_DOCS, MAX_SHARE, MIN_LEFT, MIN_LEFT_SHARE = 5, 0.02, 10, 0.3
@@ -85,7 +86,7 @@ def removed_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_share: float =
     lines = texts.select("__host", "__f1", "__f2", F.explode(F.split("__text", "\n", -1)).alias("__line"))
     lines = lines.select("__host", "__f1", "__f2", line_hash("__host", F.col("__line")).alias("__l"), F.regexp_count("__line", F.lit(WORD)).alias("__n")).filter("__n > 0")
     # Copies of a text repeat its lines: a sum over them is cut to one copy's by the count of copies.
-    each = lines.groupBy("__host", "__f1", "__f2", "__l").agg(F.sum("__n").alias("__n"))
+    each = cut(lines.groupBy("__host", "__f1", "__f2", "__l").agg(F.sum("__n").alias("__n")), "lines")
     copies = docs.select(host_of().alias("__host"), *fingerprint()).groupBy("__host", "__f1", "__f2").agg(F.count("*").alias("__copies"))
     hosts = copies.groupBy("__host").agg(F.count("*").alias("__docs"))
     often = each.groupBy("__host", "__l").agg(F.count("*").alias("__in")).filter(F.col("__in") > min_docs).join(hosts, "__host").filter(F.col("__in") > max_share * F.col("__docs")).select("__host", "__l")
@@ -110,6 +111,7 @@ def quality(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", *(F.col(f"__{x}").alias(x) for x in names), F.col("__left").alias("left_words"), F.col("__kept").alias("kept"))
 
 
+@shielded("doc_id", "source", "text", "n_chars")
 def cleaned(docs: DataFrame) -> DataFrame:
     """The documents that are kept, without the lines above the limits (n_chars follows)."""
     # One condition over both sides of the join: a part that names the base rules alone would be pushed down to the scan, and there evaluated anew for each use.
