@@ -11,7 +11,7 @@ Payloads of at least ``min_bytes`` that are equal are stored once: the row with
 others are revisits that name it. Counting is pre-aggregated by digest, so a payload that a third of all pages share
 is one small row per map task; the groups of two and more are broadcast only up to ``BROADCAST_ROWS`` rows.
 
-Defined results: a null html is an empty payload; a null url is an empty target; repeated rows with the largest page_id
+Defined results: page_ids are integers; rows that repeat one have equal record ids. A null html is an empty payload; a null url is an empty target; repeated rows with the largest page_id
 are responses each; a null page_id is never referred to unless all of its group are null, which then are all responses;
 other columns are ignored; an empty table gives no archives and no rows.
 """
@@ -29,7 +29,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch, small
+from .common import drop_path, scratch, small
 
 #: Rows of (digest, page_id) that are broadcast at most: some 100 MB.
 BROADCAST_ROWS = 1_000_000
@@ -240,4 +240,5 @@ def round_trip(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
     done = normalise(spread(spark, names), f"{folder}/raw", f"{folder}/members").collect()
     if sum(r["records"] for r in done) != sum(r["records"] for r in written):
         raise ValueError("records were lost in normalising")
+    drop_path(spark, f"{folder}/raw")  # read no more
     return read_archives(spread(spark, names), f"{folder}/members")
