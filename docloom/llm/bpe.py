@@ -10,7 +10,7 @@
    join for stored sequences of ids.
 
 One plan at every size: nothing that grows with the corpus is broadcast, collected or remembered from task to task. A task
-holds one chunk, or one bucket's distinct words.
+holds one chunk, or ``HELD`` of a bucket's distinct words; words that it has to let go are encoded anew when they come again.
 
 Words are split with the pre-tokenizer's pattern; characters that the pattern engine and the library put in different
 classes (newer Unicode versions) are found by probing the library once per distinct character and worker, and texts that
@@ -26,7 +26,7 @@ import functools
 import hashlib
 import json
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,11 @@ from .token_counts import load
 
 #: The byte-level pre-tokenizer's pattern, with the letters first (for speed), as no other branch can match where they do.
 PATTERN = regex.compile(r" ?\p{L}++|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+")
-#: Characters of text in a chunk, buckets of the word table, words that the library encodes at a time.
-CHUNK_CHARS, BUCKETS, ENCODED = 12_000_000, 2048, 20_000
+#: Characters of text in a chunk, buckets of the word table, words that the library encodes at a time, words of the table that a task holds.
+CHUNK_CHARS, BUCKETS, ENCODED, HELD = 32_000_000, 512, 20_000, 1 << 20
+CODEC = pa.Codec("zstd", compression_level=3)
+#: Numbers that are packed at a time, for small intermediates.
+SOME = 1 << 18
 #: Marks a special string among words. No word can equal it: the pattern never joins white space to what follows but for one space.
 MARK = "\n\nspecial:"
 
@@ -106,17 +109,54 @@ def lists(values: pa.Array, lengths) -> pa.ListArray:
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """Numbers of 32 bits, their bytes by place, compressed: places are small numbers, so most high bytes are alike."""
-    return pa.compress(np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
-
-
-def unpacked(blob: bytes, n: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(pa.decompress(blob, 4 * n, codec="zstd", asbytes=True), np.uint8).reshape(4, n).T).view("<i4").reshape(n)
+    """Numbers from 0, seven bits to a byte and the low ones first, the high bit where more follow; compressed."""
+    parts = []
+    for start in range(0, len(numbers), SOME):
+        some = numbers[start : start + SOME].astype(np.uint32)
+        sizes = 1 + sum((some >> np.uint32(7 * k) > 0).astype(np.int64) for k in range(1, 5))
+        at = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), np.uint8)
+        for k in range(int(sizes.max())):
+            more = sizes > k
+            out[at[more] + k] = (some[more] >> np.uint32(7 * k)) & np.uint32(127) | np.where(sizes[more] > k + 1, np.uint32(128), np.uint32(0))
+        parts.append(out.tobytes())
+    whole = b"".join(parts)
+    return len(whole).to_bytes(8, "little") + CODEC.compress(whole, asbytes=True)
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    found = np.frombuffer(CODEC.decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True), np.uint8)
+    out, n, start = np.empty(int((found < 128).sum()), np.int32), 0, 0
+    while start < len(found):
+        some = found[start : start + SOME]
+        ends = np.flatnonzero(some < 128)  # a number that goes on beyond is left for the next round
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        part = (some[starts] & 127).astype(np.int32)
+        for k in range(1, 5):
+            more = ends - starts >= k
+            part[more] |= (some[starts[more] + k] & 127).astype(np.int32) << (7 * k)
+        out[n : n + len(part)] = part
+        n, start = n + len(part), start + int(ends[-1]) + 1
+    return out
+
+
+def packed_words(words: list[bytes]) -> tuple[bytes, int]:
+    """Words with their lengths, compressed, and the size of that before."""
+    sizes = np.fromiter(map(len, words), "<i4", len(words))
+    whole = sizes.tobytes() + b"".join(words)
+    return CODEC.compress(whole, asbytes=True), len(whole)
+
+
+def unpacked_words(blob: bytes, size: int, n: int) -> list[str]:
+    whole = CODEC.decompress(blob, size, asbytes=True)
+    ends = (np.cumsum(np.frombuffer(whole, "<i4", n)) + 4 * n).tolist()
+    return [whole[a:b].decode() for a, b in zip([4 * n, *ends], ends)]
 
 
 def chunks(docs: DataFrame, path: str, chunk_chars: int, buckets: int) -> DataFrame:
-    """Rows of two kinds. Of a chunk: (chunk, docs, lengths, places, order, words), where ``order`` numbers its words by bucket.
-    Of a chunk and a bucket: (chunk, bucket, asked), its distinct words of that bucket."""
+    """Rows of two kinds. Of a chunk: (chunk, docs, lengths, places, order): its texts as words' ranks by frequency, and the steps
+    from rank to rank over its words by bucket. Of a chunk and a bucket: (chunk, bucket, asked, asked_size, n_words), its distinct
+    words of that bucket by rank."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -126,20 +166,27 @@ def chunks(docs: DataFrame, path: str, chunk_chars: int, buckets: int) -> DataFr
         def out():
             nonlocal made
             chunk, made = (part << 32) + made, made + 1
-            words = list(held["words"])
+            words = [w.encode() for w in held["words"]]
+            places = np.concatenate([*held["places"], np.empty(0, np.int32)])
             bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
-            order = np.argsort(bucket, kind="stable")
+            by_word = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+            by_rank = by_word[np.lexsort((bucket[by_word], -np.bincount(places, minlength=len(words))[by_word]))]
+            rank = np.empty(len(words), np.int32)
+            rank[by_rank] = np.arange(len(words), dtype=np.int32)
+            order = np.argsort(bucket[by_rank], kind="stable")  # ranks by bucket
             found, sizes = np.unique(bucket, return_counts=True)
-            n, total = len(found), sum(map(len, held["places"]))
-            places = np.concatenate([*held["places"], np.empty(0, np.int32)])
-            asked = lists(pa.array(words, pa.string()).take(pa.array(order)), sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array(found, pa.int32()), asked, *(pa.nulls(n, f.type) for f in list(schema)[3:])], schema=schema)
-            row = [[chunk], [None], [None], [held["docs"]], [[len(x) for x in held["places"]]], [packed(places)], [packed(order)], [total], [len(words)]]
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, schema)], schema=schema)
+            n, ordered = len(found), list(map(words.__getitem__, by_rank[order].tolist()))
+            ends = [0, *np.cumsum(sizes).tolist()]
+            steps = np.diff(order, prepend=0) + np.where(np.isin(np.arange(len(order)), ends[1:]), len(order), 0)  # down only where a bucket begins
+            asked = [packed_words(ordered[a:b]) for a, b in zip(ends, ends[1:])]
+            columns = {"chunk": np.full(n, chunk), "bucket": found, "asked": [x for x, _ in asked], "asked_size": [x for _, x in asked], "n_words": sizes}
+            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+            columns = {"chunk": chunk, "docs": held["docs"], "lengths": [len(x) for x in held["places"]], "places": packed(rank[places] if len(places) else places), "order": packed(steps)}
+            yield pa.RecordBatch.from_arrays([pa.array([columns.get(f.name)], f.type) for f in schema], schema=schema)
 
         for batch in batches:
             if schema is None:
-                schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("asked", pa.list_(pa.string())), ("docs", pa.list_(batch.schema.field(0).type)), ("lengths", pa.list_(pa.int32())), ("places", pa.binary()), ("order", pa.binary()), ("n_places", pa.int32()), ("n_words", pa.int32())])
+                schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int32()), ("asked", pa.binary()), ("asked_size", pa.int32()), ("docs", pa.list_(batch.schema.field(0).type)), ("lengths", pa.list_(pa.int32())), ("places", pa.binary()), ("order", pa.binary()), ("n_words", pa.int32())])
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py() or ""
                 if held is not None and held["chars"] + len(text) > chunk_chars:
@@ -154,27 +201,29 @@ def chunks(docs: DataFrame, path: str, chunk_chars: int, buckets: int) -> DataFr
         if held is not None:
             yield from out()
 
-    return docs.select("doc_id", "text").mapInArrow(trimmed(run), f"chunk long, bucket int, asked array<string>, docs array<{kind}>, lengths array<int>, places binary, order binary, n_places int, n_words int")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), f"chunk long, bucket int, asked binary, asked_size int, docs array<{kind}>, lengths array<int>, places binary, order binary, n_words int")
 
 
-def encode_words(asked: DataFrame, path: str) -> DataFrame:
-    """(chunk, bucket, ids, sizes) of rows (chunk, bucket, asked): the ids of each word. Rows come by bucket, so each distinct word is encoded once."""
+def encode_words(asked: DataFrame, path: str, most: int = HELD) -> DataFrame:
+    """(chunk, bucket, ids, sizes) of rows (chunk, bucket, asked, asked_size, n_words): the ids of each word. Rows come by bucket, so each distinct word is encoded once."""
 
     def run(batches):
-        split, held, last = splitter(path), {}, None
+        split, held = splitter(path), {}
         for batch in batches:
-            bucket, words = batch.column(1).to_pylist(), batch.column(2)
-            flat, ends = words.flatten().to_pylist(), words.offsets.to_numpy() - words.offsets[0].as_py()
+            bucket = batch.column(1).to_pylist()
+            words = [unpacked_words(*x) for x in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))]
+            flat = list(chain.from_iterable(words))
             new = list(set(flat) - held.keys())
             held.update(zip(new, split.encode(new)))
             found = list(map(held.__getitem__, flat))
             counts = np.fromiter(map(len, found), np.int32, len(found))
-            ids = pa.array(np.fromiter((i for x in found for i in x), np.int32, int(counts.sum())))
-            borders = np.concatenate([[0], np.cumsum(counts)])[ends]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists(ids, np.diff(borders)), lists(pa.array(counts), np.diff(ends))], ["chunk", "bucket", "ids", "sizes"])
-            last = bucket[-1]
-            first = bucket.index(last)
-            held = {w: held[w] for w in flat[ends[first] :]}  # the next batch may go on with this bucket
+            ids = pa.array(np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())))
+            lengths = np.fromiter(map(len, words), np.int64, len(words))
+            borders = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(lengths)])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists(ids, np.diff(borders)), lists(pa.array(counts), lengths)], ["chunk", "bucket", "ids", "sizes"])
+            # The next batch may go on with the last bucket.
+            held = held if bucket[0] == bucket[-1] else {w: held[w] for k in range(bucket.index(bucket[-1]), len(bucket)) for w in words[k]}
+            held = held if len(held) <= most else {}
 
     return asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(trimmed(run), "chunk long, bucket int, ids array<int>, sizes array<int>")
 
@@ -209,30 +258,36 @@ def bpe_digests(docs: DataFrame, path: str, chunk_chars: int = CHUNK_CHARS, buck
     small_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     held = cut(chunks(docs, path, chunk_chars, buckets), "chunks")
-    answers = cut(encode_words(held.filter("bucket is not null").select("chunk", "bucket", "asked"), path), "ids")
-    by_chunk = answers.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "ids", "sizes"))).alias("x"))
-    by_chunk = by_chunk.select("chunk", flat(F.col("x"), "ids"), flat(F.col("x"), "sizes"))
-    texts = held.filter("bucket is null").drop("bucket", "asked").join(by_chunk, "chunk", "left")
-    used = answers.select("chunk", F.explode("ids").alias("id")).distinct().join(F.broadcast(pieces(spark, path)), "id")  # the size of the vocabulary
+    answers = encode_words(held.filter("bucket is not null").select("chunk", "bucket", "asked", "asked_size", "n_words"), path)
+    grouped = answers.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "ids", "sizes"))).alias("x"))  # one exchange for both uses
+    by_chunk = grouped.select("chunk", flat(F.col("x"), "ids"), flat(F.col("x"), "sizes"))
+    texts = held.filter("bucket is null").drop("bucket", "asked", "asked_size", "n_words").join(by_chunk, "chunk", "left")
+    used = grouped.select("chunk", F.explode(F.array_distinct(flat(F.col("x"), "ids"))).alias("id")).join(F.broadcast(pieces(spark, path)), "id")  # the size of the vocabulary
     used = used.groupBy("chunk").agg(F.collect_list(F.struct("id", "piece")).alias("p"))
     rows = texts.join(used.select("chunk", F.col("p.id").alias("piece_ids"), F.col("p.piece").alias("pieces")), "chunk", "left")
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                piece = dict(zip(row["piece_ids"] or [], row["pieces"] or []))
-                ids, ends = row["ids"] or [], [0, *accumulate(row["sizes"] or [])]
-                order = unpacked(row["order"], row["n_words"])
-                assert len(ends) == len(order) + 1, "a word of the chunk has no ids"
-                number, part, content = dict(zip(piece, map(str, piece))), [""] * len(order), [b""] * len(order)
+            for k in range(batch.num_rows):
+                row = {name: batch.column(name)[k] for name in batch.schema.names}
+                numbers = lambda name: row[name].values.to_numpy() if row[name].is_valid else np.empty(0, np.int32)
+                number = numbers("piece_ids").tolist()
+                piece, digits = dict(zip(number, row["pieces"].as_py() or [])), dict(zip(number, map(str, number)))
+                ids, counts, lengths = numbers("ids"), numbers("sizes").astype(np.int64), numbers("lengths").tolist()
+                order = unpacked(row["order"].as_py())
+                n = len(order)
+                order = np.cumsum(order) % max(1, n)  # where a bucket begins, n was added
+                if len(counts) != n:
+                    raise ValueError("a word of the chunk has no ids")
+                ends = np.concatenate([[0], np.cumsum(counts)]).tolist()
+                part, content, sizes = [""] * n, [b""] * n, np.zeros(n, np.int64)
+                sizes[order] = counts
+                said, held = (list(map(x.__getitem__, ids.tolist())) for x in (digits, piece))
                 for at, a, b in zip(order.tolist(), ends, ends[1:]):
-                    of = ids[a:b]
-                    part[at] = ",".join(map(number.__getitem__, of))
-                    content[at] = b"".join(map(piece.__getitem__, of))
-                sizes = np.zeros(len(order), np.int64)
-                sizes[order] = row["sizes"] or []
-                places, start, out = unpacked(row["places"], row["n_places"]), 0, []
-                for doc, length in zip(row["docs"], row["lengths"]):
+                    part[at], content[at] = ",".join(said[a:b]), b"".join(held[a:b])
+                del said, held
+                places, start, out = unpacked(row["places"].as_py()), 0, []
+                for doc, length in zip(row["docs"].as_py(), lengths):
                     some = places[start : start + length]
                     start += length
                     at = some.tolist()

@@ -1,11 +1,12 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from docloom.llm.bpe import bpe_digests, decoded
+from docloom.llm.bpe import bpe_digests, decoded, packed, unpacked
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -45,4 +46,9 @@ def test_plan_holds_the_joins(spark):
     """By position and by id, at any size; no word table is broadcast."""
     df = spark.createDataFrame(rows(), "doc_id long, text string")
     plan = bpe_digests(df, PATH)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Join LeftOuter, (chunk") == 2 and "Join Inner, (id" in plan
+    assert plan.count("Join LeftOuter, (chunk") == 2 and "Join Inner, (id" in plan, plan
+
+
+def test_numbers_pack():
+    for x in ([], [0], [127, 128, 16383, 16384, 2**21, 2**31 - 1, 0, 5]):
+        assert unpacked(packed(np.array(x, np.int64))).tolist() == x
