@@ -314,7 +314,8 @@ def linked(docs: DataFrame, known: DataFrame, of: Sets, percent: int) -> DataFra
     found = cut(groups(docs, of, percent, known.count()), "groups")
     pairs = cut(found.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    owners = cut(known.filter("node is not null").join(involved, "node", "left_semi").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"))).alias("x")).select("node", F.col("x.doc").alias("doc_id")), "owners")
+    first = known.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"))).alias("x"))  # copies meet in the map tasks
+    owners = cut(first.join(involved, "node", "left_semi").select("node", F.col("x.doc").alias("doc_id")), "owners")
     texts = cut(texts_of(docs, owners, of), "texts")
     links = cut(verified(pairs, texts, of, percent), "links")
     members = cut(open_groups(found, connected(links), cut(sketches(texts, of, percent), "sketches")), "members")
