@@ -49,3 +49,22 @@ def test_stages_against_brute_force(spark, tmp_path):
     digests = sorted(hashlib.sha256(",".join(map(str, t.encode(x).ids)).encode()).hexdigest() for x in mix)
     assert sorted(x.ids_sha256 for x in corpus_pipeline.bpe_stage(spark, at, sf).collect()) == digests
     assert len(corpus_pipeline.run(spark, sf).collect()) == len(mix)
+
+
+def test_empty_documents_and_clashing_columns(spark, tmp_path):
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(2, 6)))
+    rows = [(i, " ".join([*(word() for _ in range(40)), *(["numskull"] if i % 4 == 1 else [])]), f"s{i % 2}" if i % 5 else None, -1, "n", 2, "x") for i in range(60)]
+    rows += [(None, rows[0][1], "s0", -1, "n", 2, "x"), (None, None, None, None, None, None, None), (5, rows[5][1], None, 0, "m", 1, "y"), (6, "long " + " ".join(word() for _ in range(30000)), "s1", 0, "m", 1, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, __size int, __node string, __host int, component string")
+    labels = spark.createDataFrame([(d, int("numskull" in t)) for d, t, *_ in rows if d is not None], "doc_id long, toxic int")
+    for name, table in (("full", docs), ("empty", docs.limit(0))):
+        table.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    at = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        at = cut(stage(spark, at, f"file://{tmp_path}/full"), "t")
+        assert at.columns == docs.columns
+        kept = at.collect()
+        assert kept and all((x["__size"], x["__node"], x["__host"], x.component) in ((-1, "n", 2, "x"), (0, "m", 1, "y")) for x in kept)
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}/empty").collect() == []
