@@ -2,20 +2,25 @@
 
 Each function of STAGES takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of
 ``docs``. ``run`` writes each stage's result to the shared folder and reads it again.
+
+Defined results: a null text counts as empty, and the quality rules reject it, so later stages see texts with words; null
+sources are a source of their own, null doc_ids take part in all stages; repeated rows are copies, of which one stays; of ties
+between equal doc_ids in a group of near duplicates one row stays; texts of any length are read whole; an empty table gives
+an empty result in every stage; further columns pass through, whatever their names. Without labels every document has the
+same score of 0.5, which rejects all: the pipeline needs labels.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from docloom.llm.bpe import bpe_digests
 from docloom.llm.common import cut, table
 from docloom.llm.jaccard_join import representatives
 from docloom.llm.mixing import mixed_documents
 from docloom.llm.quality import cleaned
-from docloom.llm.toxicity import score_column, train
+from docloom.llm.toxicity import clean_documents
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +30,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5. The classifier learns from the labelled documents that reach this stage."""
-    rows = score_column(docs, train(docs, table(spark, sf_dir, "labels")), docs.columns)
-    return rows.filter(F.col("__score") < 0.5).select(*docs.columns)
+    return clean_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
