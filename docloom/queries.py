@@ -128,6 +128,15 @@ def toc_links(spark, sf):
     return read(spark, sf, "pages").select("page_id", F.posexplode(urls.links(F.col("html"))).alias("pos", "link")).withColumn("pos", F.col("pos").cast("long"))
 
 
+_TOC = "concat('<a href=\"GUID-F', page_id, '.html\">o</a><nav class=\"n\" id=\"wh_publication_toc\"><a href=\"GUID-', page_id, '.html\">a</a><a href=\"x.html\">b</a><a class=\"k\" href=\"GUID-AB-', page_id % 7, '.html\">c</a><a href=\"GUID-', page_id, '.html\">d</a><a href=\"GUID-1.htm\">e</a><a href=\"a/GUID-2.html\">f</a></nav>', html)"
+
+
+@query("SELECT page_id, unnest(['GUID-' || page_id || '.html', 'GUID-AB-' || page_id % 7 || '.html']) AS topic, unnest([0, 1]) AS pos FROM pages")
+def toc_topics(spark, sf):
+    """Whole pages behind a table of contents: only its links count, and of those the topics', each once."""
+    return derived(spark, sf, "pages", "page_id", h=_TOC).select("page_id", F.posexplode(urls.oxygen_topics(F.col("h"))).alias("pos", "topic"))
+
+
 @query(r"SELECT page_id, regexp_extract(html, '(?is)<article\b.*?</article>', 0) AS article FROM pages")
 def article_extract(spark, sf):
     return read(spark, sf, "pages").select("page_id", urls.article(F.col("html")).alias("article"))
