@@ -16,14 +16,15 @@ A set whose partner may lie in the next band also signs for that band. Sets that
 
 Links, in three steps, none of which emits the pairs within a group:
  1. The sets of a signature's group are compared with the group's first set, by their texts. Tasks that sign link their own
-    repeats of a signature, so a signature comes to the shuffle at most once per task's flush, however many sets share it.
- 2. Groups whose sets then lie in several linked components are open. Of open groups with the same sets one is kept. Their
-    sets are dealt into blocks of bounded size: a component that fills more than a block has blocks of its own, small ones share.
+    repeats of a signature, so a signature comes to the shuffle as one row per task's flush, however many sets share it.
+ 2. Groups whose sets then lie in several linked components are open. Open groups that hang together are one group as long as
+    all their sets fit in one block, else each stays its own, and of those with the same sets one is kept. Sets are dealt into
+    blocks of bounded size: a component that fills more than a block has blocks of its own, small ones share.
  3. Blocks of one group are compared with each other within a task, but for two blocks of one component, first by sketches: a
     set's shingles are hashed to bits, a bit tells whether an odd number of shingles fell on it. Two sets differ in at least as
     many shingles as their sketches in bits, so what is too far apart by the sketches cannot be linked. The sets that have a
     partner left are compared again by their texts; a task gives only links that join two components. Only sets that share a
-    signature are compared, no closure of unproven pairs is made, and few texts are moved.
+    signature, or a block, are compared, and few texts are moved.
 Components are found by large-star and small-star steps over tables in the shared folder.
 
 Hot keys: hashes, counts and minima are aggregated in the map tasks first; joins on a node or signature that many rows share
@@ -217,7 +218,7 @@ def frequent_shingles(docs: DataFrame, of: Sets, texts: int) -> np.ndarray:
 
 
 def signed(docs: DataFrame, of: Sets, percent: int, texts: int) -> DataFrame:
-    """(sig, node, first): the signatures of each row's set. Of a task's sets with one signature the first seen has a null ``first``, the others have it there."""
+    """(sig, node, rest): the signatures of each row's set. The sets of a task's flush that share a signature are one row, the first and the ``rest`` (null if none)."""
     held = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, of, texts)) if percent < FREQUENT_BELOW else None  # FREQUENT_MOST numbers at most
 
     def run(batches):
@@ -226,16 +227,17 @@ def signed(docs: DataFrame, of: Sets, percent: int, texts: int) -> DataFrame:
         sigs, owners, lengths, done, total = [], [], [], set(), 0
 
         def out():
-            sig, node = np.concatenate(sigs), np.repeat(np.array(owners, np.int64), lengths)
-            _, at, group = np.unique(sig, return_index=True, return_inverse=True)
-            first = node[at][group]
-            lone = np.zeros(len(sig), bool)
-            lone[at] = True
-            sig = sig.view(np.int64)
-            for k in range(0, len(sig), 1 << 16):
-                some = slice(k, k + (1 << 16))
-                good = lone[some] | (first[some] != node[some])
-                yield pa.RecordBatch.from_arrays([pa.array(sig[some]), pa.array(node[some]), pa.array(first[some], mask=lone[some])], ["sig", "node", "first"]).filter(pa.array(good))
+            sig, node = np.concatenate(sigs).view(np.int64), np.repeat(np.array(owners, np.int64), lengths)
+            order = np.argsort(sig, kind="stable")
+            sig, node = sig[order], node[order]
+            starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+            others = np.diff(np.concatenate([starts, [len(sig)]])) - 1
+            rest = np.ones(len(sig), bool)
+            rest[starts] = False
+            rest = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(others)]), pa.int32()), pa.array(node[rest]), mask=pa.array(others == 0))
+            whole = pa.RecordBatch.from_arrays([pa.array(sig[starts]), pa.array(node[starts]), rest], ["sig", "node", "rest"])
+            for k in range(0, len(starts), 1 << 16):
+                yield whole.slice(k, 1 << 16)
 
         for batch in batches:
             for text in batch.column(0):
@@ -255,18 +257,16 @@ def signed(docs: DataFrame, of: Sets, percent: int, texts: int) -> DataFrame:
         if total:
             yield from out()
 
-    return docs.select("text").mapInArrow(trimmed(run), "sig long, node long, first long")
+    return docs.select("text").mapInArrow(trimmed(run), "sig long, node long, rest array<long>")
 
 
 def groups(docs: DataFrame, of: Sets, percent: int, texts: int) -> DataFrame:
-    """(sig, first, node): sets that share a signature, as trees of depth two. One shuffle; running windows.
-
-    Pairs that a task has found pass the shuffle by the hash of their node, so that no task gets a signature's pairs.
-    """
-    rows = signed(docs, of, percent, texts).withColumn("spot", F.when(F.col("first").isNull(), F.col("sig")).otherwise(F.xxhash64("node", "sig")))
-    by = Window.partitionBy("spot", "sig").orderBy(F.col("first").isNotNull(), "node")
-    least = F.first(F.when(F.col("first").isNull(), F.col("node"))).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.select("sig", "node", F.coalesce("first", least).alias("first"))
+    """(sig, first, node): sets that share a signature, as trees of depth two. One shuffle; running windows over a row per flush and signature."""
+    by = Window.partitionBy("sig").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
+    rows = signed(docs, of, percent, texts).withColumn("first", F.first("node").over(by)).filter(F.col("rest").isNotNull() | (F.col("node") != F.col("first")))
+    own = F.array(F.struct("first", "node"))
+    rest = F.transform(F.coalesce("rest", F.array().cast("array<bigint>")), lambda x: F.struct(F.col("node").alias("first"), x.alias("node")))
+    rows = rows.select("sig", F.inline(F.concat(own, rest)))
     return rows.filter(F.col("node") != F.col("first")).distinct()
 
 
@@ -360,12 +360,21 @@ def open_groups(found: DataFrame, parts: DataFrame, about: DataFrame) -> DataFra
     members = found.select("sig", "node").unionByName(found.select("sig", F.col("first").alias("node"))).distinct()
     placed = about.select("node", "bytes").join(parts, "node", "left").select("node", "bytes", F.coalesce("component", "node").alias("component"))
     members = cut(members.join(placed, "node"), "placed")
+    open_sigs = members.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("total")).filter("low <> high and total > 2").select("sig")
+    open_sigs = cut(open_sigs, "open")
+    # Open groups that hang together share most of their sets: where all these fill one block at most, they are one group.
+    closure = connected(found.join(open_sigs, "sig", "left_semi").select(F.col("first").alias("a"), F.col("node").alias("b"))).withColumnRenamed("component", "closure")
+    closure = cut(closure, "closure")
+    little = closure.join(about.select("node", "bytes"), "node").groupBy("closure").agg(F.count("*").alias("sets"), F.sum("bytes").alias("size")).filter((F.col("sets") <= BLOCK_SETS) & (F.col("size") <= BLOCK_BYTES)).select("closure", F.lit(True).alias("little"))
+    group = F.when(F.col("little"), F.xxhash64("closure")).otherwise(F.xxhash64("sig", F.lit(1)))
+    members = members.join(open_sigs, "sig", "left_semi").join(closure.join(little, "closure", "left"), "node")
+    members = cut(members.select(group.alias("sig"), "node", "bytes", "component").distinct(), "placed")
     each = members.groupBy("sig", "component").agg(F.count("*").alias("sets"), F.sum("bytes").alias("bytes"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("y"))
     blocks = lambda sets, size: F.ceil(F.greatest(sets / BLOCK_SETS, size / BLOCK_BYTES)).cast("long")
     each = each.withColumn("blocks", blocks(F.col("sets"), F.col("bytes")))
     of_small = F.when(F.col("blocks") <= 1, F.lit(1)).otherwise(0)
-    several = each.groupBy("sig").agg(F.count("*").alias("components"), F.sum("sets").alias("total"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"), F.sum(of_small * F.col("sets")).alias("small_sets"), F.sum(of_small * F.col("bytes")).alias("small_bytes"))
-    several = several.filter("components > 1 and total > 2").dropDuplicates(["x", "y", "total"]).select("sig", F.greatest(F.lit(1), blocks(F.col("small_sets"), F.col("small_bytes"))).alias("shared_blocks"))
+    several = each.groupBy("sig").agg(F.sum("sets").alias("total"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"), F.sum(of_small * F.col("sets")).alias("small_sets"), F.sum(of_small * F.col("bytes")).alias("small_bytes"))
+    several = several.dropDuplicates(["x", "y", "total"]).select("sig", F.greatest(F.lit(1), blocks(F.col("small_sets"), F.col("small_bytes"))).alias("shared_blocks"))
     asked = each.select("sig", "component", "blocks").join(several, "sig")
     rows = members.join(asked, ["sig", "component"]).join(about.select("node", "size", "sketch"), "node")
     alone = F.col("blocks") > 1
