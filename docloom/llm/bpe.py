@@ -42,7 +42,7 @@ from .token_counts import load
 #: The byte-level pre-tokenizer's pattern, with the letters first (for speed), as no other branch can match where they do.
 PATTERN = regex.compile(r" ?\p{L}++|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+")
 #: Characters of text in a chunk, buckets of the word table, words that the library encodes at a time, words of the table that a task holds.
-CHUNK_CHARS, BUCKETS, ENCODED, HELD = 32_000_000, 512, 20_000, 1 << 20
+CHUNK_CHARS, BUCKETS, ENCODED, HELD = 16_000_000, 512, 20_000, 1 << 20
 CODEC = pa.Codec("zstd", compression_level=3)
 #: Numbers that are packed at a time, for small intermediates.
 SOME = 1 << 18
