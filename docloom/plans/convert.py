@@ -112,13 +112,15 @@ def convert(docs: DataFrame, metadata: DataFrame | None = None, options: Convert
     named = good.select("doc_id", F.col("original_file").alias("name"), "sha256")
     deduped = im.dedupe_references(im.references(base), named)
     deduped = stored(deduped.join(base.select("doc_id", "stem"), "doc_id"), "deduped", log)
-    renamed = stored(im.rewrite_references(base, deduped.filter("canonical is not null").select("doc_id", "pos", reference(F.col("alt"), F.col("stem"), F.col("canonical")).alias("new"))), "renamed", log)
     contents = deduped.filter("rank = 1").select("doc_id", F.col("canonical").alias("name"), "sha256").join(good.dropDuplicates(["doc_id", "sha256"]).select("doc_id", "sha256", "content"), ["doc_id", "sha256"]).drop("sha256")
     width, height = im.image_dims(F.col("content"))
-    refs = below(renamed)
+    # As the text will name them: files by their content, all else below the folder as it is. So the text is rewritten once.
+    refs = deduped.withColumn("rel_name", F.coalesce("canonical", im.below_prefix(F.col("target"), F.col("stem"))))
     thin = stored(im.page_furniture(refs, contents.select("doc_id", "name", width.alias("width"), height.alias("height"))), "furniture", log)
-    dropped_refs = refs.join(thin.select("doc_id", "rel_name"), ["doc_id", "rel_name"])
-    slim = stored(im.rewrite_references(renamed, dropped_refs.select("doc_id", "pos", F.lit("").alias("new"))), "slim", log)
+    refs = refs.join(thin.select("doc_id", "rel_name", F.lit(True).alias("thin")), ["doc_id", "rel_name"], "left")
+    new = F.when(F.col("thin"), F.lit("")).when(F.col("canonical").isNotNull(), reference(F.col("alt"), F.col("stem"), F.col("canonical")))
+    slim = stored(im.rewrite_references(base, refs.select("doc_id", "pos", new.alias("new"))), "slim", log)
+    dropped_refs = refs.filter("thin")
     files = contents.join(thin.select("doc_id", F.col("rel_name").alias("name")), ["doc_id", "name"], "left_anti")
     if options.postprocess:
         slim, files, _, counts = postprocess(slim, files, options, log)
