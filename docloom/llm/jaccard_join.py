@@ -397,17 +397,22 @@ def near(members: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for name, left, right in zip(*(batch.column(k) for k in range(3))):
                 sides = [side.as_py() for side in (left, right) if side.is_valid]
-                size = min(len(x["sketch"]) for side in sides for x in side)
-                words = [folded([x["sketch"] for x in side], size) for side in sides]
+                of_size = [{n: [i for i, x in enumerate(side) if len(x["sketch"]) == n] for n in {len(x["sketch"]) for x in side}} for side in sides]
                 counts = [np.array([x["size"] for x in side], np.int64) for side in sides]
                 parts = [np.array([x["component"] for x in side], np.int64) for side in sides]
                 some = [np.zeros(len(side), bool) for side in sides]
-                for i in range(len(sides[0])):
-                    apart = np.bitwise_count(words[0][i] ^ words[-1]).sum(axis=1, dtype=np.int64)
-                    apart = np.maximum(apart, np.abs(counts[0][i] - counts[-1]))
-                    good = (apart * (100 + percent) <= (counts[0][i] + counts[-1]) * (100 - percent)) & (parts[0][i] != parts[-1])
-                    some[0][i] |= good.any()
-                    some[-1] |= good
+                for n, rows in of_size[0].items():
+                    for m, others in of_size[-1].items():
+                        if max(n, m) > 2 * min(n, m):  # similar sets are of like size, so their sketches are too
+                            continue
+                        words = [folded([side[i]["sketch"] for i in at], min(n, m)) for side, at in ((sides[0], rows), (sides[-1], others))]
+                        size, part = counts[-1][others], parts[-1][others]
+                        for i, word in zip(rows, words[0]):
+                            apart = np.bitwise_count(word ^ words[1]).sum(axis=1, dtype=np.int64)
+                            apart = np.maximum(apart, np.abs(counts[0][i] - size))
+                            good = (apart * (100 + percent) <= (counts[0][i] + size) * (100 - percent)) & (parts[0][i] != part)
+                            some[0][i] |= good.any()
+                            some[-1][np.array(others)[good]] = True
                 found = [(x["node"], x["component"]) for side, kept in zip(sides, some) for x, k in zip(side, kept.tolist()) if k]
                 yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(found), pa.string()), pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], ["work", "node", "component"])
 
