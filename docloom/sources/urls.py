@@ -97,8 +97,9 @@ def unescaped(text: Column) -> Column:
     return F.coalesce(_unescaped(F.when(text.contains("&"), text)), text)
 
 
-def page_title(html: Column) -> Column:
-    return F.nullif(strip(unescaped(found(html, r"(?is)<title[^>]*>(.*?)</title>"))), F.lit(""))
+def page_title(html: Column, decode=unescaped, trim=strip) -> Column:
+    """The title as text, null where nothing is left; ``decode`` and ``trim`` are what is done to its source."""
+    return F.nullif(trim(decode(found(html, r"(?is)<title[^>]*>(.*?)</title>"))), F.lit(""))
 
 
 def article(html: Column) -> Column:

@@ -57,6 +57,16 @@ def test_empty_tables(spark, tmp_path):
         assert QUERIES[name](spark, f"file://{tmp_path}").count() == 0, name
 
 
+@needs_data
+def test_titles_equal_sql(spark, duck, tmp_path):
+    """References and white space that the given pages of sf0.001 do not have in their titles."""
+    titles = ["a = &quot;x", "a &amp", "a &am", "a &amp;&amp;b &lt;", "&amp;quot;", "&amp;amp;", "&#65;&nbsp;", "&nbsp;", " \t\r\n\f&amp; b \n", "\x0b a \x0b", "\u00a0a\u2003", " \u00a0 ", " a\n b ", "", " ", None]
+    rows = [(i, None if t is None else f"<TITLE lang=en>{t}</Title><title>z</title>") for i, t in enumerate(titles)]
+    spark.createDataFrame([*rows, (100, "none"), (101, "<title>open &quot;")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    want = duck.execute(f"WITH pages AS (SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')) {ORACLE_SQL['page_title']}").fetchall()
+    assert sorted(map(tuple, QUERIES["page_title"](spark, str(tmp_path)).collect())) == sorted(want)
+
+
 @needs_data
 def test_image_queries_take_whole_texts(spark):
     """Against brute force: whole texts as contents of images and below them."""
