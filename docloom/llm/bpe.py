@@ -4,7 +4,8 @@
    documents, the dictionary of its distinct words, and its texts as positions in that dictionary.
 2. The dictionaries' words are dealt by hash into ``BUCKETS`` buckets of the distinct-word table, where each distinct word is
    encoded once. A word is there once per chunk, however frequent it is, so no key is hot. Words are compared as words.
-3. Ids are joined back to the chunks by position: a join on the chunk, then the positions of its texts.
+3. Ids are joined back to the chunks by position: a join on the chunk, then the positions of its texts. Chunks are stored in
+   buckets by chunk, so their texts are on disk once and in no shuffle.
 4. Decoding joins the distinct ids of a chunk to the id-to-piece table, which has the size of the vocabulary. Bytes are
    joined and read as UTF-8 with U+FFFD for what is none, as the library's byte-level decoder does. ``decoded`` is the same
    join for stored sequences of ids.
@@ -36,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, trimmed
+from .common import cut_by, small_batches, trimmed
 from .token_counts import load
 
 #: The byte-level pre-tokenizer's pattern, with the letters first (for speed), as no other branch can match where they do.
@@ -257,7 +258,7 @@ def bpe_digests(docs: DataFrame, path: str, chunk_chars: int = CHUNK_CHARS, buck
     spark = docs.sparkSession
     small_batches(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    held = cut(chunks(docs, path, chunk_chars, buckets), "chunks")
+    held = cut_by(chunks(docs, path, chunk_chars, buckets), "chunks", "chunk")  # texts are stored once and stay out of shuffles
     answers = encode_words(held.filter("bucket is not null").select("chunk", "bucket", "asked", "asked_size", "n_words"), path)
     grouped = answers.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("bucket", "ids", "sizes"))).alias("x"))  # one exchange for both uses
     by_chunk = grouped.select("chunk", flat(F.col("x"), "ids"), flat(F.col("x"), "sizes"))

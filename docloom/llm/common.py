@@ -28,6 +28,18 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As ``cut``, dealt by ``key`` into as many buckets as a shuffle has partitions: joins on it read the table as it lies, without an exchange."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    plain, first = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    adaptive = all(spark.conf.get(f"spark.sql.adaptive.{x}") == "true" for x in ("enabled", "coalescePartitions.enabled"))
+    entry = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.format("parquet").bucketBy(int(first if first and adaptive else plain), key).option("path", path).saveAsTable(entry)
+    written = spark.table(entry)
+    spark.sql(f"DROP TABLE {entry}")  # only the catalog's entry: what has a path of its own keeps its files
+    return written
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a written intermediate that no later plan reads."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

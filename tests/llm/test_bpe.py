@@ -49,6 +49,26 @@ def test_plan_holds_the_joins(spark):
     assert plan.count("Join LeftOuter, (chunk") == 2 and "Join Inner, (id" in plan, plan
 
 
+@pytest.mark.parametrize("first", [None, "7"])
+def test_texts_are_stored_once(spark, first):
+    """They lie in buckets by chunk, so both joins read them without an exchange; the catalog keeps nothing."""
+    df = spark.createDataFrame(rows(), "doc_id long, text string")
+    want = sorted(map(tuple, bpe_digests(df, PATH).collect()), key=str)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1"} | ({"spark.sql.adaptive.coalescePartitions.initialPartitionNum": first} if first else {})
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = bpe_digests(df, PATH, 500)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(chunk") == 2 and plan.count("SortMergeJoin [chunk") == 2, plan
+        assert sorted(map(tuple, out.collect()), key=str) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert not any(t.name.startswith("chunks") for t in spark.catalog.listTables())
+
+
 def test_numbers_pack():
     for x in ([], [0], [127, 128, 16383, 16384, 2**21, 2**31 - 1, 0, 5]):
         assert unpacked(packed(np.array(x, np.int64))).tolist() == x
